@@ -20,48 +20,48 @@ BLOCKS = 512
 HASH_BITS = 16
 
 
+def cut_blocks(df: DataFrame, order: str, blocks: int = BLOCKS) -> DataFrame:
+    """Add ``_block``: which of about ``blocks`` even, ordered slices ``order`` falls into.
+
+    The edges are approximate quantiles of a numeric ``order``, found in one
+    pass; at most ``blocks`` numbers reach the driver.
+    """
+    keyed = df.withColumn("_order", F.col(order).cast("double"))
+    cutter = QuantileDiscretizer(
+        numBuckets=blocks, inputCol="_order", outputCol="_block", relativeError=0.25 / blocks
+    )
+    return cutter.fit(keyed).transform(keyed).drop("_order")
+
+
 def running_before(
     df: DataFrame,
     order: str,
     totals: dict[str, tuple[str, Callable[[Column], Column], Callable[[Column, Column], Column]]],
     by: Sequence[str] = (),
-    blocks: int = BLOCKS,
 ) -> DataFrame:
     """Add, per row, an aggregate over all rows that come before it in ``order``.
 
-    ``totals`` maps an output name to (input column, aggregate, combine), for
-    example ``("neg", F.sum, add)``. ``order`` must be numeric and unique within
-    ``by``. Block edges are approximate quantiles of ``order``, so blocks are even.
+    ``df`` comes from :func:`cut_blocks` on the same ``order``, which must be
+    unique within ``by``. ``totals`` maps an output name to (input column,
+    aggregate, combine), for example ``("neg", F.sum, operator.add)``. The sorted
+    windows run per block, so one hot group is spread over many tasks; across
+    blocks only their totals are accumulated.
     """
-    keyed = df.withColumn("_order", F.col(order).cast("double"))
-    cutter = QuantileDiscretizer(
-        numBuckets=blocks, inputCol="_order", outputCol="_block", relativeError=0.25 / blocks
-    ).fit(keyed)
-    keyed = cutter.transform(keyed)
     keys = [*by, "_block"]
-    block_totals = keyed.groupBy(*keys).agg(
-        *[aggregate(F.col(source)).alias(f"_t_{name}") for name, (source, aggregate, _) in totals.items()]
-    )
-    earlier_blocks = (
-        W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    block_totals = df.groupBy(*keys).agg(
+        *[aggregate(F.col(source)).alias(name) for name, (source, aggregate, _) in totals.items()]
     )
+    earlier = W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = block_totals.select(
         *keys,
-        *[
-            aggregate(F.col(f"_t_{name}")).over(earlier_blocks).alias(f"_o_{name}")
-            for name, (_, aggregate, _) in totals.items()
-        ],
+        *[aggregate(F.col(name)).over(earlier).alias(f"_o_{name}") for name, (_, aggregate, _) in totals.items()],
     )
     within = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    local = keyed.select(
-        "*",
-        *[
-            aggregate(F.col(source)).over(within).alias(f"_w_{name}")
-            for name, (source, aggregate, _) in totals.items()
-        ],
+    local = df.withColumns(
+        {f"_w_{name}": aggregate(F.col(source)).over(within) for name, (source, aggregate, _) in totals.items()}
     )
-    combined = local.join(lookup(offsets), keys, "left")
-    return combined.select(
+    joined = local.join(lookup(offsets), keys, "left")
+    return joined.select(
         *df.columns,
         *[
             F.coalesce(

@@ -6,6 +6,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stayline.functions.times import utc_literal
+
 #: How long a transform of the same input stays valid.
 EXPIRY = timedelta(days=3)
 
@@ -63,5 +65,5 @@ def pending(
 
     ``manifest`` holds fingerprint, output_path, created_at and is append-only.
     """
-    fresh = manifest.where(F.col("created_at") > F.lit(now - expiry)).select("fingerprint").distinct()
+    fresh = manifest.where(F.col("created_at") > utc_literal(now - expiry)).select("fingerprint").distinct()
     return fingerprints.join(fresh, "fingerprint", "left_anti")

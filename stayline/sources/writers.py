@@ -6,6 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from stayline.functions.times import utc_literal
+
 
 def write_cleaned(df: DataFrame, path: str, with_csv: bool = False) -> str:
     """Write the cleaned table to a new path; the delimited twin is optional.
@@ -64,5 +66,5 @@ def export_csv(df: DataFrame, path: str) -> str:
 def with_comparison_lineage(comparison: DataFrame, batch_id: str, at: datetime) -> DataFrame:
     """Batch id first, report time last."""
     return comparison.select(
-        F.lit(batch_id).alias("batch_id"), "*", F.lit(at).cast("timestamp").alias("comparison_timestamp")
+        F.lit(batch_id).alias("batch_id"), "*", utc_literal(at).alias("comparison_timestamp")
     )
