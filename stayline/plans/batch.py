@@ -18,12 +18,13 @@ from stayline.plans.training import CLASSIFIERS, CLUSTERING, FittedModel
 
 def load_models(store: RunStore, optional=(*CLASSIFIERS, CLUSTERING)) -> dict[str, FittedModel]:
     """Champions by name. The primary is required, any other model may be missing."""
-    primary = store.load_champion(PRIMARY)
+    preprocessors: dict = {}
+    primary = store.load_champion(PRIMARY, preprocessors)
     if primary is None:
         raise ValueError("no primary model is registered")
     models = {PRIMARY: primary}
     for name in optional:
-        found = store.load_champion(name)
+        found = store.load_champion(name, preprocessors)
         if found is not None:
             models[name] = found
     return models

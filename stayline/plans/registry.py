@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayline.functions.times import utc_now
@@ -20,7 +21,7 @@ ALIAS = "champion"
 PRIMARY = "primary"
 
 _TABLES = {
-    "runs": "run_id string, model string, artifact string, started_at timestamp_ntz",
+    "runs": "run_id string, model string, preprocessor string, artifact string, started_at timestamp_ntz",
     "run_params": "run_id string, param string, value string",
     "run_metrics": "run_id string, metric string, value double",
     "versions": "registry string, version int, run_id string, promoted_at timestamp_ntz",
@@ -54,10 +55,13 @@ class RunStore:
         model: str,
         params: Mapping,
         metrics: Mapping,
-        artifact: str | None = None,
+        saved: tuple[str, str] | None = None,
         at: datetime | None = None,
     ) -> str:
-        """Append one run. Only numeric metrics are kept; other values are left out."""
+        """Append one run. Only numeric metrics are kept; other values are left out.
+
+        ``saved`` holds the paths of the preprocessor and the model.
+        """
         run_id = uuid.uuid4().hex
         self._append("run_params", [(run_id, k, json.dumps(v)) for k, v in params.items()])
         numbers = [
@@ -66,7 +70,7 @@ class RunStore:
             if isinstance(v, (int, float)) and not isinstance(v, bool)
         ]
         self._append("run_metrics", numbers)
-        self._append("runs", [(run_id, model, artifact, at or utc_now())])
+        self._append("runs", [(run_id, model, *(saved or (None, None)), at or utc_now())])
         return run_id
 
     def metric(self, run_id: str, metric: str = SELECTION_METRIC) -> float | None:
@@ -124,15 +128,25 @@ class RunStore:
             results[PRIMARY] = self.register_champion(PRIMARY, runs[best], metric)
         return results
 
-    def load_champion(self, registry: str) -> FittedModel | None:
-        """The fitted model behind the alias, or None if nothing was registered or saved."""
+    def load_champion(
+        self, registry: str, preprocessors: dict[str, PipelineModel] | None = None
+    ) -> FittedModel | None:
+        """The fitted model behind the alias, or None if nothing was registered or saved.
+
+        ``preprocessors`` collects loaded preprocessors by path, so that several
+        champions of one training share one.
+        """
         current = self.champion(registry)
         if current is None:
             return None
         row = self.table("runs").where(F.col("run_id") == current[1]).first()
         if row is None or row["artifact"] is None:
             return None
-        return FittedModel.load(registry, row["artifact"])
+        loaded = {} if preprocessors is None else preprocessors
+        path = row["preprocessor"]
+        if path not in loaded:
+            loaded[path] = PipelineModel.load(path)
+        return FittedModel.load(registry, loaded[path], row["artifact"])
 
     def lineage(self) -> DataFrame:
         """(model, model_uri, model_version) of every registry's champion."""
@@ -146,8 +160,6 @@ class RunStore:
 
 def log_search(store: RunStore, result: SearchResult, held_out: Mapping[str, float]) -> str:
     """Save the refitted model of a search and log its run."""
-    artifact = None
-    if result.fitted is not None:
-        artifact = result.fitted.save(f"{store.root}/artifacts/{result.name}-{uuid.uuid4().hex}")
+    saved = result.fitted.save(f"{store.root}/artifacts") if result.fitted is not None else None
     measured = {**held_out, SELECTION_METRIC: result.best_score}
-    return store.log_run(result.name, result.best_params, measured, artifact)
+    return store.log_run(result.name, result.best_params, measured, saved)

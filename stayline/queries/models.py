@@ -22,13 +22,13 @@ from stayline.sources import writers
 from stayline.streaming.incremental import score_new_files
 
 AT = datetime(2024, 1, 1, 9, 0, 0)
-FOLDS = 3
-LOGISTIC = [{"C": 0.1, "class_weight": None}, {"C": 1.0, "l1_ratio": 0.5, "class_weight": "balanced"}]
+FOLDS = 2
+LOGISTIC = [{"C": 0.1, "class_weight": None, "iterations": 50}, {"C": 1.0, "l1_ratio": 0.5, "class_weight": "balanced", "iterations": 50}]
 FOREST = [
-    {"n_estimators": 20, "max_depth": 5, "max_features": "sqrt", "class_weight": "balanced"},
-    {"n_estimators": 20, "max_depth": 8, "max_features": "log2", "min_samples_leaf": 2},
+    {"n_estimators": 10, "max_depth": 5, "max_features": "sqrt", "class_weight": "balanced"},
+    {"n_estimators": 10, "max_depth": 8, "max_features": "log2", "min_samples_leaf": 2},
 ]
-BOOSTING = [{"max_iter": 8, "max_depth": 3, "learning_rate": 0.1, "min_samples_leaf": 10}]
+BOOSTING = [{"max_iter": 5, "max_depth": 3, "learning_rate": 0.1, "min_samples_leaf": 10}]
 KMEANS = [{"n_clusters": k, "restarts": 2} for k in (2, 3, 4)]
 SMALL = {
     "logistic_regression": LOGISTIC[:1],
@@ -70,7 +70,7 @@ def kmeans_k_selection(spark, sf_dir):
 @query("train_all")
 def train_all(spark, sf_dir):
     store = RunStore(spark, scratch_path(spark, "registry"))
-    train_and_register(clean_customers(churn_raw(spark, sf_dir)), store, SMALL, folds=2)
+    train_and_register(clean_customers(churn_raw(spark, sf_dir)), store, SMALL, folds=FOLDS)
     runs = store.table("runs").select("run_id", "model")
     return store.table("run_metrics").join(runs, "run_id").select("model", "metric", "value")
 
@@ -79,7 +79,7 @@ def train_all(spark, sf_dir):
 def score_batch(spark, sf_dir):
     cleaned = clean_customers(churn_raw(spark, sf_dir))
     marked = split.stratified_split(cleaned)
-    train = TrainingSet.of(marked.where(~F.col("is_test")), folds=2)
+    train = TrainingSet.of(marked.where(~F.col("is_test")), folds=FOLDS)
     fitted = {n: r.fitted for n, r in search(train, SMALL).items()}
     models = {PRIMARY: fitted["random_forest"], **fitted}
     return generate_predictions(models, marked.where("is_test").drop("is_test", "churn"))
@@ -88,7 +88,7 @@ def score_batch(spark, sf_dir):
 @query("weekly_summary")
 def weekly_summary(spark, sf_dir):
     root = scratch_path(spark, "weekly")
-    return run_weekly(churn_raw(spark, sf_dir), root, SMALL, AT, folds=2).summary
+    return run_weekly(churn_raw(spark, sf_dir), root, SMALL, AT, folds=FOLDS).summary
 
 
 _DECIDED = """SELECT *, CAST(CASE WHEN churn_probability >= 0.5 THEN 1 ELSE 0 END AS INTEGER) AS churn_prediction,
