@@ -9,9 +9,11 @@ those. Only the few rows inside a bracket are shuffled.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from stayline.session import lookup
 
@@ -45,9 +47,9 @@ def exact_quantiles(
     the order of ``probabilities``. Groups without a value are absent.
     ``approximate=True`` returns sketch quantiles (elements of the data) in one pass.
 
-    The final rank selection of one group and quantile sees at most
-    ``SMALL_GROUP`` rows or ``2 * (SAFETY + 1) / ACCURACY`` of the group, and
-    repeated values are already folded into a count, so a hot value is one row.
+    The final rank selection of one group sees at most ``SMALL_GROUP`` rows or,
+    per quantile, ``2 * (SAFETY + 1) / ACCURACY`` of the group, and repeated
+    values are already folded into a count, so a hot value is one row.
     """
     probabilities = [float(p) for p in probabilities]
     keys = [*by, "column"]
@@ -58,10 +60,10 @@ def exact_quantiles(
             F.percentile_approx("value", probabilities, ACCURACY).alias("quantiles"),
         )
 
+    ordered = sorted(set(probabilities))
+    count = len(ordered)
     margin = SAFETY / ACCURACY
-    edges = [max(p - margin, 0.0) for p in probabilities]
-    edges += [min(p + margin, 1.0) for p in probabilities]
-    count = len(probabilities)
+    edges = [max(p - margin, 0.0) for p in ordered] + [min(p + margin, 1.0) for p in ordered]
     sketch = long.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("value").alias("_min"),
@@ -69,69 +71,77 @@ def exact_quantiles(
         F.percentile_approx("value", edges, ACCURACY).alias("_edges"),
     )
     small = F.col("n") <= SMALL_GROUP
+    lows = [F.col(f"_l{i}") for i in range(count)]
+    highs = [F.col(f"_h{i}") for i in range(count)]
     brackets = sketch.select(
         *keys,
         "n",
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("i"),
-                    F.when(small | F.lit(p <= margin), F.col("_min"))
-                    .otherwise(F.col("_edges")[i])
-                    .alias("low"),
-                    F.when(small | F.lit(p >= 1 - margin), F.col("_max"))
-                    .otherwise(F.col("_edges")[count + i])
-                    .alias("high"),
-                )
-                for i, p in enumerate(probabilities)
-            ]
-        ).alias("_brackets"),
+        *[
+            F.when(small | F.lit(p <= margin), F.col("_min")).otherwise(F.col("_edges")[i]).alias(f"_l{i}")
+            for i, p in enumerate(ordered)
+        ],
+        *[
+            F.when(small | F.lit(p >= 1 - margin), F.col("_max"))
+            .otherwise(F.col("_edges")[count + i])
+            .alias(f"_h{i}")
+            for i, p in enumerate(ordered)
+        ],
     )
     # One small row per group; size-checked before it is broadcast.
     table = lookup(brackets)
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    joined = long.alias("l").join(table.alias("r"), on=_all(same), how="inner")
-
-    # Per wanted rank a row is below the bracket (value NULL), inside it, or dropped.
-    hits = F.filter(F.col("r._brackets"), lambda b: F.col("l.value") <= b["high"])
-    marked = joined.select(
-        *[F.col(f"l.{k}").alias(k) for k in keys],
-        F.col("r.n").alias("n"),
-        F.col("l.value").alias("value"),
-        F.explode(hits).alias("_b"),
-    ).select(
-        *keys,
-        "n",
-        F.col("_b.i").alias("i"),
-        F.when(F.col("value") >= F.col("_b.low"), F.col("value")).alias("value"),
+    same = _all([F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    joined = long.alias("l").join(table.alias("r"), same).select("l.*", *[f"r.{c}" for c in brackets.columns[len(keys):]])
+
+    # A value inside a bracket keeps its identity; any other row only counts
+    # towards its region, the number of brackets that start at or below it.
+    value = F.col("value")
+    region = _sum([(value >= low).cast("int") for low in lows])
+    inside = [(value >= low) & (value <= high) for low, high in zip(lows, highs)]
+    kept = F.when(_any(inside), value)
+    counted = (
+        joined.groupBy(*keys, "n", *lows, *highs, region.alias("region"), kept.alias("value"))
+        .agg(F.count(F.lit(1)).alias("c"))
     )
-    counted = marked.groupBy(*keys, "n", "i", "value").agg(F.count(F.lit(1)).alias("c"))
+    below = [F.col("region") <= i for i in range(count)]
     upto = (
-        W.partitionBy(*keys, "i")
-        .orderBy(F.col("value").asc_nulls_first())
+        W.partitionBy(*keys)
+        .orderBy(value.asc_nulls_first())
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    p = F.element_at(F.array(*[F.lit(x) for x in probabilities]), F.col("i") + 1)
-    position = (F.col("n") - 1) * p
-    ranked = (
-        counted.withColumn("cum", F.sum("c").over(upto))
-        .withColumn("k", F.floor(position))
-        .withColumn("frac", position - F.floor(position))
+    running = counted.withColumns(
+        {
+            f"_cum{i}": F.sum(F.when(below[i] | F.coalesce(inside[i], F.lit(False)), F.col("c"))).over(upto)
+            for i in range(count)
+        }
     )
-    picked = ranked.groupBy(*keys, "n", "i", "k", "frac").agg(
-        F.min(F.when(F.col("cum") > F.col("k"), F.struct("cum", "value"))).alias("at"),
-        F.min(F.when(F.col("cum") > F.col("k") + 1, F.struct("cum", "value"))).alias("next"),
+    wanted = [(F.col("n") - 1) * F.lit(p) for p in ordered]
+
+    def first_past(i: int, rank: Column) -> Column:
+        return F.min(F.when(inside[i] & (F.col(f"_cum{i}") > rank), value))
+
+    picked = running.groupBy(*keys, "n").agg(
+        *[
+            part
+            for i in range(count)
+            for part in (
+                first_past(i, F.floor(wanted[i])).alias(f"_a{i}"),
+                first_past(i, F.floor(wanted[i]) + 1).alias(f"_b{i}"),
+                F.sum(F.when(below[i], F.col("c")).otherwise(0)).alias(f"_u{i}"),
+            )
+        ]
     )
-    low, high = F.col("at.value"), F.coalesce(F.col("next.value"), F.col("at.value"))
-    outside = low.isNull() | ((F.col("frac") > 0) & F.col("next.value").isNull())
-    value = F.when(
-        outside, F.raise_error(F.lit("quantile rank fell outside its bracket")).cast("double")
-    ).otherwise(low + (high - low) * F.col("frac"))
-    return (
-        picked.select(*keys, "n", "i", value.alias("value"))
-        .groupBy(*keys, "n")
-        .agg(F.array_sort(F.collect_list(F.struct("i", "value"))).alias("_q"))
-        .select(*keys, "n", F.transform("_q", lambda q: q["value"]).alias("quantiles"))
+
+    def result(i: int) -> Column:
+        fraction = wanted[i] - F.floor(wanted[i])
+        low, high = F.col(f"_a{i}"), F.col(f"_b{i}")
+        missed = (
+            low.isNull() | (F.col(f"_u{i}") > F.floor(wanted[i])) | ((fraction > 0) & high.isNull())
+        )
+        failure = F.raise_error(F.lit("quantile rank fell outside its bracket")).cast("double")
+        return F.when(missed, failure).otherwise(low + (F.coalesce(high, low) - low) * fraction)
+
+    return picked.select(
+        *keys, "n", F.array(*[result(ordered.index(p)) for p in probabilities]).alias("quantiles")
     )
 
 
@@ -149,7 +159,12 @@ def quantile_values(
 
 
 def _all(conditions):
-    result = conditions[0]
-    for condition in conditions[1:]:
-        result = result & condition
-    return result
+    return reduce(operator.and_, conditions)
+
+
+def _any(conditions):
+    return reduce(operator.or_, conditions)
+
+
+def _sum(terms):
+    return reduce(operator.add, terms)
