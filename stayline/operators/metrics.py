@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stayline.functions.numeric import count_if, nan_to_null, ratio
 from stayline.functions.ranking import cut_blocks, running_before
+from stayline.session import staged
 
 
 def _f1(precision: Column, recall: Column) -> Column:
@@ -38,9 +39,10 @@ def confusion_metrics(df: DataFrame, label: str = "label", prediction: str = "pr
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One row: positives, negatives and the exact area under the ROC curve.
 
-    Equal scores count half. Rows are first folded to one per distinct score,
-    then negatives are accumulated over ordered blocks of scores, so neither a
-    hot score nor many distinct scores end up in one task. NULL without both classes.
+    Equal scores count half. Rows are first folded to one per distinct score and
+    written once, since three passes follow; negatives are then accumulated over
+    ordered blocks of scores, so neither a hot score nor many distinct scores
+    end up in one task. NULL without both classes.
     """
     clean = df.select(F.col(label).cast("int").alias("y"), nan_to_null(F.col(score).cast("double")).alias("s"))
     scores = (
@@ -48,7 +50,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
         .groupBy("s")
         .agg(count_if(F.col("y") == 1).alias("pos"), count_if(F.col("y") == 0).alias("neg"))
     )
-    ranked = running_before(cut_blocks(scores, "s"), "s", {"_below": ("neg", F.sum, operator.add)})
+    ranked = running_before(cut_blocks(staged(scores, "scores"), "s"), "s", {"_below": ("neg", F.sum, operator.add)})
     wins = F.col("pos") * (F.coalesce(F.col("_below"), F.lit(0)) + F.col("neg") / 2)
     return ranked.agg(
         F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"),

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, functions as F
 from stayline import schema
 from stayline.operators import compare, scoring, split
 from stayline.plans.batch import score_batch
-from stayline.plans.cleaning import clean_customers
+from stayline.plans.etl import prepare_batch, run_etl
 from stayline.plans.registry import RunStore, log_search
 from stayline.plans.training import CLASSIFIERS, CLUSTERING, TrainingSet, default_trials, evaluate, search
 from stayline.sources import writers
+from stayline.sources.readers import read_batch
 
 
 @dataclass(frozen=True)
@@ -56,13 +57,14 @@ def run_weekly(
     """Run all stages in order below ``root``; a failing stage stops the run."""
     spark = raw.sparkSession
     batch_id = scoring.batch_id(at)
-    path = writers.write_cleaned(clean_customers(raw), f"{root}/cleaned/{batch_id}")
-    cleaned = spark.read.parquet(path)
+    path, _ = run_etl(raw, root, at)
+    cleaned = spark.read.parquet(f"{path}/cleaned")
 
     store = RunStore(spark, f"{root}/registry")
     train_and_register(cleaned, store, models, folds, parallelism)
 
-    scored = score_batch(store, split.holdout_batch(cleaned), batch_id, at, cleaned)
+    batch, _ = prepare_batch(cleaned, root, at)
+    scored = score_batch(store, read_batch(spark, batch), batch_id, at, cleaned)
     table = writers.append_batch(scored, f"{root}/predictions", batch_id)
     history = writers.read_history(spark, table, scored.schema)
     predictions = history.where(F.col("batch_id") == batch_id)
@@ -72,4 +74,8 @@ def run_weekly(
     )
     reports = writers.append_batch(report, f"{root}/comparison", batch_id)
     comparison = writers.read_history(spark, reports, report.schema).where(F.col("batch_id") == batch_id)
-    return WeeklyResult(predictions, comparison, compare.batch_summary(predictions, table))
+    summary = compare.batch_summary(predictions, table)
+    # A handful of rows: totals, risk groups, models and segments.
+    measured = {".".join(filter(None, (r["metric"], r["key"]))): r["value"] for r in summary.collect()}
+    store.log_run(f"batch-{batch_id}", {}, measured)
+    return WeeklyResult(predictions, comparison, summary)

@@ -31,10 +31,10 @@ FOREST = [
 BOOSTING = [{"max_iter": 5, "max_depth": 3, "learning_rate": 0.1, "min_samples_leaf": 10}]
 KMEANS = [{"n_clusters": k, "restarts": 2} for k in (2, 3, 4)]
 SMALL = {
-    "logistic_regression": LOGISTIC[:1],
-    "random_forest": FOREST[:1],
-    "gradient_boosting": BOOSTING,
-    CLUSTERING: KMEANS[1:2],
+    "logistic_regression": [{"C": 1.0, "iterations": 20}],
+    "random_forest": [{"n_estimators": 8, "max_depth": 5, "class_weight": "balanced"}],
+    "gradient_boosting": [{"max_iter": 4, "max_depth": 3, "min_samples_leaf": 10}],
+    CLUSTERING: [{"n_clusters": 3, "restarts": 2}],
 }
 
 

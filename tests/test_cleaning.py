@@ -1,9 +1,13 @@
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 from stayline.functions import text
 from stayline.operators import clean, encode, quality, services
 from stayline.plans.cleaning import CLEANED_SCHEMA, clean_customers, clean_with_log, typed
+from stayline.plans.etl import prepare_batch, run_etl
+from stayline.session import scratch_path
 
 
 def column(df, name):
@@ -313,5 +317,27 @@ def test_impossible_values_are_not_imputed_again(raw):
     assert log["final_columns", "total_services", "position"] == 22
 
 
+def test_etl_skips_known_input_until_it_expires(spark, raw):
+    root = scratch_path(spark, "etl")
+    monday = datetime(2024, 1, 1, 9)
+    first, built = run_etl(raw, root, monday)
+    assert built and spark.read.parquet(f"{first}/cleaned").count() == 3
+    assert spark.read.json(f"{first}/extraction").count() == 21
+    assert spark.read.json(f"{first}/log").where("step = 'final_columns'").count() == 22
+    assert run_etl(raw.orderBy(F.desc("customerID")), root, monday + timedelta(days=2)) == (first, False)
+    again, built = run_etl(raw, root, monday + timedelta(days=4))
+    assert built and again != first
+
+
+def test_batch_is_rebuilt_only_for_a_new_source(spark, customers):
+    root = scratch_path(spark, "batches")
+    cleaned = customers(20)
+    first, built = prepare_batch(cleaned, root, datetime(2024, 1, 1))
+    assert built and spark.read.parquet(first).count() == 4
+    assert prepare_batch(cleaned, root, datetime(2025, 1, 1)) == (first, False)
+    other, built = prepare_batch(customers(25), root, datetime(2025, 1, 2))
+    assert built and spark.read.parquet(other).count() == 6
+
+
 def test_typed_does_not_depend_on_missing_columns(make):
     assert typed(make([("a",)], "customerID string")).columns == ["customer_id"]

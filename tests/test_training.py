@@ -184,7 +184,13 @@ def test_weekly_run(spark):
     assert predicted.select("batch_id").distinct().first().batch_id == "20240101T090000"
 
     # The same data again: no champion changes hands, the new batch is added.
-    run_weekly(raw, root, small, datetime(2024, 1, 8, 9), folds=2)
+    run_weekly(raw, root, small, datetime(2024, 1, 3, 9), folds=2)
     store = RunStore(spark, f"{root}/registry")
     assert store.table("versions").groupBy("registry").count().where("count > 1").count() == 0
     assert spark.read.parquet(f"{root}/predictions").select("batch_id").distinct().count() == 2
+    # Cleaning and the batch were reused, the runs were not.
+    assert spark.read.parquet(f"{root}/etl/manifest").count() == 1
+    assert spark.read.parquet(f"{root}/batches/manifest").count() == 1
+    assert store.table("runs").count() == 8
+    logged = store.table("run_metrics").where("metric = 'n_customers'").collect()
+    assert [r.value for r in logged] == [customers, customers]
