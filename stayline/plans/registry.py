@@ -158,8 +158,10 @@ class RunStore:
         )
 
 
-def log_search(store: RunStore, result: SearchResult, held_out: Mapping[str, float]) -> str:
-    """Save the refitted model of a search and log its run."""
+def log_search(
+    store: RunStore, result: SearchResult, held_out: Mapping[str, float], settings: Mapping | None = None
+) -> str:
+    """Save the refitted model of a search and log its run, with the search settings if given."""
     saved = result.fitted.save(f"{store.root}/artifacts") if result.fitted is not None else None
     measured = {**held_out, SELECTION_METRIC: result.best_score}
-    return store.log_run(result.name, result.best_params, measured, saved)
+    return store.log_run(result.name, {**(settings or {}), **result.best_params}, measured, saved)

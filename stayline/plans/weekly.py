@@ -13,7 +13,16 @@ from stayline.operators import compare, scoring, split
 from stayline.plans.batch import score_batch
 from stayline.plans.etl import prepare_batch, run_etl
 from stayline.plans.registry import RunStore, log_search
-from stayline.plans.training import CLASSIFIERS, CLUSTERING, TrainingSet, default_trials, evaluate, search
+from stayline.plans.training import (
+    CLASSIFIERS,
+    CLUSTERING,
+    SPACES,
+    TrainingSet,
+    default_trials,
+    evaluate,
+    search,
+    space_params,
+)
 from stayline.sources import writers
 from stayline.sources.readers import read_batch
 
@@ -36,13 +45,26 @@ def train_and_register(
     models: Mapping[str, Sequence[Mapping]],
     folds: int = schema.FOLDS,
     parallelism: int = 4,
+    spaces: Mapping[str, Sequence[Mapping]] | None = None,
 ) -> dict[str, tuple[int, bool]]:
-    """Search every model on the training part, log the runs, and contest the champions."""
+    """Search every model on the training part, log the runs, and contest the champions.
+
+    ``spaces`` are the search spaces the trials were drawn from, for the log;
+    the default ones unless given.
+    """
     marked = split.stratified_split(cleaned)
     train = marked.where(~F.col("is_test")).drop("is_test")
     test = marked.where("is_test").drop("is_test")
     results = search(TrainingSet.of(train, folds=folds), models, parallelism)
-    runs = {n: log_search(store, r, evaluate(r.fitted, test)) for n, r in results.items()}
+    runs = {
+        n: log_search(
+            store,
+            r,
+            evaluate(r.fitted, test),
+            space_params(SPACES[n] if spaces is None else spaces.get(n, ()), folds, len(models[n])),
+        )
+        for n, r in results.items()
+    }
     return store.register_models(runs)
 
 
@@ -53,8 +75,13 @@ def run_weekly(
     at: datetime,
     folds: int = schema.FOLDS,
     parallelism: int = 4,
+    with_csv: bool = False,
 ) -> WeeklyResult:
-    """Run all stages in order below ``root``; a failing stage stops the run."""
+    """Run all stages in order below ``root``; a failing stage stops the run.
+
+    ``with_csv`` also exports the batch's predictions and comparison as
+    delimited files with a header.
+    """
     spark = raw.sparkSession
     batch_id = scoring.batch_id(at)
     path, _ = run_etl(raw, root, at)
@@ -74,6 +101,9 @@ def run_weekly(
     )
     reports = writers.append_batch(report, f"{root}/comparison", batch_id)
     comparison = writers.read_history(spark, reports, report.schema).where(F.col("batch_id") == batch_id)
+    if with_csv:
+        writers.export_csv(predictions, f"{root}/export/predictions-{batch_id}.csv")
+        writers.export_csv(comparison, f"{root}/export/comparison-{batch_id}.csv")
     summary = compare.batch_summary(predictions, table)
     # A handful of rows: totals, risk groups, models and segments.
     measured = {".".join(filter(None, (r["metric"], r["key"]))): r["value"] for r in summary.collect()}

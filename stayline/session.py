@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,6 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 BROADCAST_ROWS = 20_000
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="stayline-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 
@@ -21,8 +27,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="stayline-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_scratch()
     return f"{root.rstrip('/')}/stayline/{label}-{uuid.uuid4().hex}"
 
 

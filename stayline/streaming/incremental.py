@@ -22,7 +22,8 @@ def score_new_files(
 
     The stream's checkpoint remembers which files were taken. Each micro-batch
     replaces its own ``batch_id`` partition, so a batch repeated after a failure
-    is not appended twice. Inbox and checkpoint must be on shared storage.
+    is not appended twice. All folders must be on shared storage, and a lost
+    checkpoint needs a new ``output``, because its files are then scored anew.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:

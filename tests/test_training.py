@@ -169,7 +169,7 @@ def test_weekly_run(spark):
         "random_forest": [{"n_estimators": 3, "max_depth": 3}],
         CLUSTERING: [{"n_clusters": 2, "restarts": 1}],
     }
-    first = run_weekly(raw, root, small, datetime(2024, 1, 1, 9), folds=2)
+    first = run_weekly(raw, root, small, datetime(2024, 1, 1, 9), folds=2, with_csv=True)
     summary = {(r.metric, r.key): r.value for r in first.summary.collect()}
     customers = summary["n_customers", None]
     assert customers == sum(summary["risk_group", g] for g in schema.RISK_GROUPS)
@@ -192,5 +192,14 @@ def test_weekly_run(spark):
     assert spark.read.parquet(f"{root}/etl/manifest").count() == 1
     assert spark.read.parquet(f"{root}/batches/manifest").count() == 1
     assert store.table("runs").count() == 8
+    assert spark.read.option("header", True).csv(f"{root}/export/predictions-20240101T090000.csv").count() == customers
+    assert store.table("run_params").where("param = 'search.1.l1_ratio'").count() == 2
     logged = store.table("run_metrics").where("metric = 'n_customers'").collect()
     assert [r.value for r in logged] == [customers, customers]
+
+
+def test_search_settings_are_flattened():
+    many = training.space_params(training.LOGISTIC_GRIDS, 5, 48)
+    assert many["search.0.C"] == many["search.1.C"] == [0.01, 0.1, 1.0, 10.0]
+    assert "search.0.l1_ratio" not in many and many["cv.folds"] == 5
+    assert training.space_params((training.KMEANS_SPACE,), 5, 7)["search.n_clusters"] == [2, 3, 4, 5, 6, 7, 8]
