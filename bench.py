@@ -47,7 +47,7 @@ HEADLINE = (
     "champion_current",
     "incremental_scoring",
 )
-#: Fits four models and scores a batch; run once, as the reference figure is one run too.
+#: Fits four models and scores a batch; run once, as the published figure is for one run too.
 ONCE = ("weekly_summary",)
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from stayline import schema
 from stayline.fixtures import churn_raw, table
 from stayline.functions import text
-from stayline.functions.numeric import round_to
 from stayline.operators import clean, columns, encode, quality, services
 from stayline.plans.cleaning import clean_customers, clean_with_log, typed
 from stayline.queries.registry import (
@@ -25,6 +24,7 @@ from stayline.queries.registry import (
     query,
     raw_sql,
     rounded,
+    rounded_columns,
     titled,
     typed_sql,
 )
@@ -36,10 +36,6 @@ def _typed(spark, sf_dir):
     return typed(churn_raw(spark, sf_dir))
 
 
-def _rounded(df, digits, *names):
-    return df.withColumns({n: round_to(F.col(n), digits) for n in names})
-
-
 def _snake_sql(c: str) -> str:
     steps = (
         ("([a-z0-9])([A-Z])", r"\1_\2"),
@@ -188,13 +184,13 @@ def _fill_sql(kind: str, where: str = "") -> str:
 
 @query("fill_missing_median", _fill_sql("median"))
 def fill_missing_median(spark, sf_dir):
-    return _rounded(clean.fill_missing(_typed(spark, sf_dir)), 4, *CLEAN_NUMERIC)
+    return rounded_columns(clean.fill_missing(_typed(spark, sf_dir)), 4, *CLEAN_NUMERIC)
 
 
 @query("fill_missing_mean", _fill_sql("mean", f"WHERE NOT ({_MISSING}) > 0.04 * 21"))
 def fill_missing_mean(spark, sf_dir):
     filled = clean.fill_missing(_typed(spark, sf_dir), strategy="mean", drop_threshold=0.04)
-    return _rounded(filled, 4, *CLEAN_NUMERIC)
+    return rounded_columns(filled, 4, *CLEAN_NUMERIC)
 
 
 @query(
@@ -207,7 +203,7 @@ def fill_missing_mean(spark, sf_dir):
 )
 def iqr_winsorize(spark, sf_dir):
     capped_rows = clean.winsorize_iqr(_typed(spark, sf_dir).select("customer_id", *OUTLIERS))
-    return _rounded(capped_rows, 4, *OUTLIERS)
+    return rounded_columns(capped_rows, 4, *OUTLIERS)
 
 
 @query(
@@ -224,7 +220,7 @@ def iqr_winsorize(spark, sf_dir):
     ),
 )
 def iqr_report(spark, sf_dir):
-    return _rounded(clean.iqr_report(_typed(spark, sf_dir)), 4, "lower_bound", "upper_bound")
+    return rounded_columns(clean.iqr_report(_typed(spark, sf_dir)), 4, "lower_bound", "upper_bound")
 
 
 @query(
@@ -239,7 +235,7 @@ def iqr_winsorize_lineitem(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice"
     )
-    return _rounded(clean.winsorize_iqr(lines, ["l_extendedprice"], ["l_returnflag"]), 4, "l_extendedprice")
+    return rounded_columns(clean.winsorize_iqr(lines, ["l_extendedprice"], ["l_returnflag"]), 4, "l_extendedprice")
 
 
 @query("dedup_full", raw_sql("SELECT DISTINCT * FROM churn_raw"))
@@ -276,7 +272,7 @@ def dedup_subset_first(spark, sf_dir):
     ) + " FROM cleaned"
 ))
 def cleaned_customers(spark, sf_dir):
-    return _rounded(clean_customers(churn_raw(spark, sf_dir)), 4, *CLEAN_NUMERIC)
+    return rounded_columns(clean_customers(churn_raw(spark, sf_dir)), 4, *CLEAN_NUMERIC)
 
 
 # -- encoding ----------------------------------------------------------------
@@ -410,12 +406,12 @@ _ALL = [*RAW_NAMES.values(), "total_services"]
 @query("validation_report", clean_sql(_finding_rows(), *_validation_ctes("cleaned", _ALL)))
 def validation_report(spark, sf_dir):
     cleaned = clean_customers(churn_raw(spark, sf_dir))
-    return _rounded(quality.validation_report(cleaned), 4, "observed")
+    return rounded_columns(quality.validation_report(cleaned), 4, "observed")
 
 
 @query("validation_report_dirty", typed_sql(_finding_rows(), *_validation_ctes("typed", list(RAW_NAMES.values()))))
 def validation_report_dirty(spark, sf_dir):
-    return _rounded(quality.validation_report(_typed(spark, sf_dir)), 4, "observed")
+    return rounded_columns(quality.validation_report(_typed(spark, sf_dir)), 4, "observed")
 
 
 @query("validation_summary", clean_sql(_summary_rows("cleaned", 22), *_validation_ctes("cleaned", _ALL)))
@@ -488,7 +484,7 @@ _LOG_PARTS = [
     ),
 )
 def transformation_log(spark, sf_dir):
-    return _rounded(clean_with_log(churn_raw(spark, sf_dir)).log, 4, "value")
+    return rounded_columns(clean_with_log(churn_raw(spark, sf_dir)).log, 4, "value")
 
 
 @query(

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from stayline import schema
 from stayline.fixtures import churn_raw, scored, table
-from stayline.functions.numeric import round_to
 from stayline.operators import clusters, encode, features, metrics, split
 from stayline.plans.cleaning import clean_customers, typed
 from stayline.queries.registry import (
@@ -15,14 +14,11 @@ from stayline.queries.registry import (
     query,
     raw_sql,
     rounded,
+    rounded_columns,
     typed_sql,
 )
 
 
-def _rounded(df, digits, *names):
-    return df.withColumns({n: round_to(F.col(n), digits) for n in names})
-
-
 # -- splits --------------------------------------------------------------------
 
 _KEYS = "keys AS (SELECT DISTINCT customerID AS customer_id, Churn AS churn FROM churn_raw)"
@@ -87,7 +83,7 @@ _HELD = f"held AS ({_split_sql('cleaned', 'customer_id', 'churn')})"
 )
 def holdout_batch(spark, sf_dir):
     batch = split.holdout_batch(clean_customers(churn_raw(spark, sf_dir)))
-    return _rounded(batch, 4, "monthly_charges", "total_charges", "tenure")
+    return rounded_columns(batch, 4, "monthly_charges", "total_charges", "tenure")
 
 
 # -- features ------------------------------------------------------------------
@@ -124,7 +120,7 @@ _SCALED = ["monthly_charges", "total_charges"]
 @query("standard_scale", typed_sql(_scale_sql("typed", "customer_id", _SCALED)))
 def standard_scale(spark, sf_dir):
     rows = typed(churn_raw(spark, sf_dir)).select("customer_id", *_SCALED)
-    return _rounded(features.standard_scale(rows, _SCALED), 6, *_SCALED)
+    return rounded_columns(features.standard_scale(rows, _SCALED), 6, *_SCALED)
 
 
 _LINE = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -133,7 +129,7 @@ _LINE = ["l_quantity", "l_extendedprice", "l_discount"]
 @query("standard_scale_lineitem", _scale_sql("lineitem", "l_orderkey, l_linenumber", _LINE))
 def standard_scale_lineitem(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *_LINE)
-    return _rounded(features.standard_scale(rows, _LINE), 6, *_LINE)
+    return rounded_columns(features.standard_scale(rows, _LINE), 6, *_LINE)
 
 
 @query(
@@ -148,7 +144,7 @@ def standard_scale_train_test(spark, sf_dir):
     marked = split.stratified_split(clean_customers(churn_raw(spark, sf_dir)))
     rows = marked.select("customer_id", "is_test", *_SCALED)
     statistics = features.scale_statistics(rows.where(~F.col("is_test")), _SCALED)
-    return _rounded(features.standard_scale(rows, _SCALED, statistics), 6, *_SCALED)
+    return rounded_columns(features.standard_scale(rows, _SCALED, statistics), 6, *_SCALED)
 
 
 # -- metrics -------------------------------------------------------------------
@@ -186,7 +182,7 @@ _VOTE = "CASE WHEN churn_probability >= 0.5 THEN 1 ELSE 0 END"
 )
 def confusion_metrics(spark, sf_dir):
     rows = _labelled(spark, sf_dir).withColumn("prediction", (F.col("churn_probability") >= 0.5).cast("int"))
-    return _rounded(metrics.confusion_metrics(rows), 6, *_RATES)
+    return rounded_columns(metrics.confusion_metrics(rows), 6, *_RATES)
 
 
 _DOCUMENTS = """(SELECT quality AS label, CASE WHEN n_chars >= 2000 THEN 1 ELSE 0 END AS prediction
@@ -195,7 +191,7 @@ FROM labels l JOIN documents d ON d.doc_id = l.doc_id)"""
 
 @query("confusion_metrics_documents", _confusion_sql("label", "prediction", _DOCUMENTS + " t"))
 def confusion_metrics_documents(spark, sf_dir):
-    return _rounded(metrics.confusion_metrics(_graded(spark, sf_dir)), 6, *_RATES)
+    return rounded_columns(metrics.confusion_metrics(_graded(spark, sf_dir)), 6, *_RATES)
 
 
 def _graded(spark, sf_dir):
@@ -218,7 +214,7 @@ def _auc_sql(source: str) -> str:
     raw_sql(_auc_sql("(SELECT label AS y, churn_probability AS s FROM labelled) l"), SCORED, _LABELLED),
 )
 def roc_auc(spark, sf_dir):
-    return _rounded(metrics.roc_auc(_labelled(spark, sf_dir), score="churn_probability"), 6, "roc_auc")
+    return rounded_columns(metrics.roc_auc(_labelled(spark, sf_dir), score="churn_probability"), 6, "roc_auc")
 
 
 @query(
@@ -229,7 +225,7 @@ def roc_auc_orders(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(
         (F.col("o_orderkey") % 3 == 0).cast("int").alias("label"), F.col("o_totalprice").alias("score")
     )
-    return _rounded(metrics.roc_auc(rows), 6, "roc_auc")
+    return rounded_columns(metrics.roc_auc(rows), 6, "roc_auc")
 
 
 def _report_sql(source: str) -> str:
@@ -249,7 +245,7 @@ def _report_sql(source: str) -> str:
 
 @query("classification_report", "WITH " + _report_sql(_DOCUMENTS))
 def classification_report(spark, sf_dir):
-    return _rounded(metrics.classification_report(_graded(spark, sf_dir)), 6, "precision", "recall", "f1_score")
+    return rounded_columns(metrics.classification_report(_graded(spark, sf_dir)), 6, "precision", "recall", "f1_score")
 
 
 # -- clusters ------------------------------------------------------------------
@@ -274,7 +270,7 @@ def _nearest(spark, sf_dir):
     f"WITH {_CENTERS} SELECT vec_id, segment, {rounded('sqrt(d)', 6)} AS segment_distance FROM nearest",
 )
 def nearest_centroid(spark, sf_dir):
-    return _rounded(_nearest(spark, sf_dir).select("vec_id", "segment", "segment_distance"), 6, "segment_distance")
+    return rounded_columns(_nearest(spark, sf_dir).select("vec_id", "segment", "segment_distance"), 6, "segment_distance")
 
 
 @query(
@@ -282,7 +278,7 @@ def nearest_centroid(spark, sf_dir):
     f"""WITH {_CENTERS} SELECT segment AS cluster, COUNT(*) AS size, {rounded('SUM(d)', 4)} AS inertia FROM nearest GROUP BY segment""",
 )
 def cluster_metrics(spark, sf_dir):
-    return _rounded(clusters.cluster_metrics(_nearest(spark, sf_dir)), 4, "inertia")
+    return rounded_columns(clusters.cluster_metrics(_nearest(spark, sf_dir)), 4, "inertia")
 
 
 def _silhouette_sql(distance: str) -> str:
@@ -299,10 +295,10 @@ _GAP = "list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[
 
 @query("silhouette", _silhouette_sql(f"{_GAP} ** 2"))
 def silhouette(spark, sf_dir):
-    return _rounded(clusters.silhouette_squared(table(spark, sf_dir, "embeddings"), "embedding", "label"), 6, "silhouette")
+    return rounded_columns(clusters.silhouette_squared(table(spark, sf_dir, "embeddings"), "embedding", "label"), 6, "silhouette")
 
 
 @query("silhouette_exact", _silhouette_sql(_GAP))
 def silhouette_exact(spark, sf_dir):
     points = table(spark, sf_dir, "embeddings")
-    return _rounded(clusters.silhouette_exact(points, "vec_id", "embedding", "label"), 6, "silhouette")
+    return rounded_columns(clusters.silhouette_exact(points, "vec_id", "embedding", "label"), 6, "silhouette")

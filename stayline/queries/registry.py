@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from stayline.functions.numeric import round_to
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,8 +24,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def rounded_columns(df: DataFrame, digits: int, *names: str) -> DataFrame:
+    return df.withColumns({n: round_to(F.col(n), digits) for n in names})
+
+
 def rounded(expression: str, digits: int) -> str:
-    """Half-up rounding that matches :func:`stayline.functions.numeric.round_to`."""
+    """Half-up rounding that matches :func:`rounded_columns`."""
     return f"CAST(ROUND(CAST({expression} AS DECIMAL(38,{digits + 4})), {digits}) AS DOUBLE)"
 
 

@@ -10,7 +10,7 @@ from stayline.fixtures import churn_raw, runs, scored, table
 from stayline.functions.numeric import round_to
 from stayline.operators import champions, compare, quality, scoring, services
 from stayline.plans.cleaning import typed
-from stayline.queries.registry import RUNS, SCORED, query, rounded, typed_sql
+from stayline.queries.registry import RUNS, SCORED, query, rounded, rounded_columns, typed_sql
 
 AT = datetime(2024, 1, 1, 9, 0, 0)
 BATCH = "20240101T090000"
@@ -19,10 +19,6 @@ MODELS = ("logistic_regression", "random_forest", "gradient_boosting")
 P = {m: f"churn_probability_{m}" for m in MODELS}
 
 
-def _rounded(df, digits, *names):
-    return df.withColumns({n: round_to(F.col(n), digits) for n in names})
-
-
 def scored_sql(body: str, *ctes: str) -> str:
     return "WITH " + ",\n".join([SCORED, *ctes]) + "\n" + body
 
@@ -184,7 +180,7 @@ def batch_validation(spark, sf_dir):
     ),
 )
 def customer_agreement(spark, sf_dir):
-    return _rounded(compare.customer_agreement(scored(spark, sf_dir)), 6, "probability_spread")
+    return rounded_columns(compare.customer_agreement(scored(spark, sf_dir)), 6, "probability_spread")
 
 
 _CHAMPIONS = """champions AS (
@@ -259,7 +255,7 @@ _LINEAGE_CTE = (
 @query("model_comparison", scored_sql("", RUNS, _HISTORY, _LINEAGE_CTE, comparison_sql("scored", _LINEAGE)).rstrip())
 def model_comparison(spark, sf_dir):
     compared = compare.model_comparison(scored(spark, sf_dir), lineage_table(spark, sf_dir))
-    return _rounded(compared, 6, *COMPARED)
+    return rounded_columns(compared, 6, *COMPARED)
 
 
 @query(
@@ -276,7 +272,7 @@ def model_comparison(spark, sf_dir):
     ),
 )
 def batch_summary(spark, sf_dir):
-    return _rounded(compare.batch_summary(scoring.add_decision(scored(spark, sf_dir))), 6, "value")
+    return rounded_columns(compare.batch_summary(scoring.add_decision(scored(spark, sf_dir))), 6, "value")
 
 
 @query(

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from stayline import schema
 from stayline.fixtures import churn_raw, scored, table
-from stayline.functions.numeric import round_to
 from stayline.operators import compare, scoring
 from stayline.plans.cleaning import clean_customers, typed
 from stayline.queries.registry import (
@@ -20,6 +19,7 @@ from stayline.queries.registry import (
     query,
     raw_sql,
     rounded,
+    rounded_columns,
     typed_sql,
 )
 from stayline.queries.scoring import COMPARED, comparison_sql
@@ -27,10 +27,6 @@ from stayline.session import scratch_path
 from stayline.sources import fingerprint, readers, writers
 
 
-def _rounded(df, digits, *names):
-    return df.withColumns({n: round_to(F.col(n), digits) for n in names})
-
-
 @query("raw_csv_scan", raw_sql("SELECT * FROM churn_raw"))
 def raw_csv_scan(spark, sf_dir):
     path = scratch_path(spark, "raw-csv")
@@ -131,7 +127,7 @@ def fingerprint_gate(spark, sf_dir):
 def cleaned_sink_roundtrip(spark, sf_dir):
     cleaned = clean_customers(churn_raw(spark, sf_dir))
     path = writers.write_cleaned(cleaned, scratch_path(spark, "cleaned"))
-    return _rounded(spark.read.schema(cleaned.schema).parquet(path), 4, *CLEAN_NUMERIC)
+    return rounded_columns(spark.read.schema(cleaned.schema).parquet(path), 4, *CLEAN_NUMERIC)
 
 
 _DECIDED = """SELECT *, CAST(CASE WHEN churn_probability >= 0.5 THEN 1 ELSE 0 END AS INTEGER) AS churn_prediction,
@@ -170,7 +166,7 @@ def comparison_latest(spark, sf_dir):
     path = scratch_path(spark, "comparison")
     for batch, rows in _weekly(spark, sf_dir):
         report = writers.with_comparison_lineage(
-            _rounded(compare.model_comparison(rows), 6, *COMPARED),
+            rounded_columns(compare.model_comparison(rows), 6, *COMPARED),
             batch,
             datetime.strptime(batch, "%Y%m%dT%H%M%S"),
         )
