@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,22 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 BROADCAST_ROWS = 20_000
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="stayline-")
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master falls back to a temporary folder; on a cluster the
-    setting is required, because executors must all see the same files.
+    Where that is unset, the session's warehouse folder takes its place, which
+    executors reach as well; no machine-local temporary folder is ever used.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = _local_scratch()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/stayline/{label}-{uuid.uuid4().hex}"
 
 
