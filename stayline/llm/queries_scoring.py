@@ -6,9 +6,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayline.llm.host_reputation import judge_urls
 from stayline.llm.registry import query, table
+from stayline.llm.toxicity import toxicity_scores
 
 
 @query("op2_url_filter")
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
     return judge_urls(table(spark, sf_dir, "pages"), outcomes)
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.select("doc_id", "p_low_quality", "p_toxic", F.col("rejected").alias("toxic"))

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stayline.llm.common import text_of
 from stayline.llm.exact_dedup import exact_groups
 from stayline.llm.line_dedup import keep_bitmaps, with_kept_text
 from stayline.llm.mixing import mixture
+from stayline.llm.pieces import round_trips
 from stayline.llm.registry import query, table
 from stayline.llm.secret_scan import secret_spans
-from stayline.llm.common import text_of
+from stayline.llm.substring_dedup import WINDOW, without_repeated_windows
 
 #: A line found in this many documents loses its lines everywhere.
 LINE_DOCUMENTS = 10
@@ -63,3 +61,34 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_mixing")
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query(
+    "op8_substring_dedup",
+    f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, p, array_to_string(w[p:p + {WINDOW - 1}], ' ') AS k
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS p FROM d)),
+f AS (SELECT k, MIN(doc_id) AS first_doc FROM x GROUP BY k),
+r AS (SELECT doc_id, p FROM x JOIN f USING (k) WHERE doc_id > first_doc),
+g AS (SELECT DISTINCT doc_id, p + o AS i FROM r, range(0, {WINDOW}) AS t(o)),
+m AS (SELECT doc_id, unnest(w) AS u, unnest(range(1, len(w) + 1)) AS i FROM d),
+s AS (SELECT m.doc_id, COUNT(*) AS n_words, COUNT(g.i) AS n_removed,
+             string_agg(u, ' ' ORDER BY m.i) FILTER (WHERE g.i IS NULL) AS kept
+      FROM m LEFT JOIN g ON m.doc_id = g.doc_id AND m.i = g.i GROUP BY m.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)
+""",
+)
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_windows(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query("op9_pieces")
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trips(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_pieces", F.sha2("ids", 256).alias("ids_sha256"), "round_trip"
+    )
