@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayline.llm.host_reputation import judge_urls
+from stayline.llm.near_dedup import near_classes
 from stayline.llm.registry import query, table
 from stayline.llm.toxicity import toxicity_scores
 
@@ -19,3 +20,8 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scores.select("doc_id", "p_low_quality", "p_toxic", F.col("rejected").alias("toxic"))
+
+
+@query("op5_near_dedup")
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")

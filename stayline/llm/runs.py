@@ -35,7 +35,7 @@ def _rows(kind: int, key, doc, at, first, n_docs, with_first: bool) -> pa.Record
     n = len(doc)
     none = pa.nulls(n, pa.int64())
     of = lambda v: pa.array(np.broadcast_to(np.asarray(v, dtype=np.int64), n))
-    keep = kind != _FINAL
+    keep = with_first or kind != _FINAL
     columns = [
         pa.array(np.full(n, kind, dtype=np.int8)),
         of(key[0]) if keep else none, of(key[1]) if keep else none,
@@ -96,7 +96,7 @@ def _stream(min_docs: int, keep_first: bool, with_first: bool):
             first = doc[starts][which]
             out = np.flatnonzero(chosen(first, doc, n_docs))
             if len(out):
-                yield _rows(_FINAL, None, doc[out], at[out], first[out], 0, with_first)
+                yield _rows(_FINAL, (k1[out], k2[out]), doc[out], at[out], first[out], 0, with_first)
         if parts:
             yield from edge(*[np.concatenate([p[i] for p in parts]) for i in range(4)])
 
@@ -109,8 +109,8 @@ def repeated_rows(
     """Rows of ``keyed`` (:data:`KEYED`, no nulls) whose key occurs in at least ``min_docs`` documents.
 
     With ``keep_first`` the rows of the key's smallest ``doc`` are left out. The
-    result is (doc, at), with ``first_doc`` if asked for, written once to shared
-    storage. No rows in, no rows out; repeated rows come back repeated.
+    result is (doc, at), with ``with_first`` also k1, k2 and ``first_doc``, written
+    once to shared storage. No rows in, no rows out; repeated rows come back repeated.
     """
     marked = (
         keyed.select("k1", "k2", "doc", "at")
@@ -129,7 +129,7 @@ def repeated_rows(
     late = waiting.join(F.broadcast(totals), ["k1", "k2"])
     if keep_first:
         late = late.where(F.col("doc") != F.col("first_doc"))
-    columns = ["doc", "at", *(["first_doc"] if with_first else [])]
+    columns = ["doc", "at", *(["k1", "k2", "first_doc"] if with_first else [])]
     return table.where(F.col("kind") == _FINAL).select(*columns).unionByName(late.select(*columns))
 
 
