@@ -48,20 +48,11 @@ def ids(batch: pa.RecordBatch, column: str = "doc_id") -> np.ndarray:
     return batch.column(column).fill_null(NO_ID).to_numpy(zero_copy_only=False)
 
 
-def row_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 5_000) -> Iterator[pa.RecordBatch]:
-    """Collect tuples into Arrow batches of at most ``size`` rows."""
-    held: list[tuple] = []
-    for row in rows:
-        held.append(row)
-        if len(held) == size:
-            yield _batch(held, schema)
-            held = []
-    if held:
-        yield _batch(held, schema)
-
-
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+def texts_of(batch: pa.RecordBatch, column: str = "text") -> Iterator:
+    """The values of a text column, turned into Python objects a few at a time."""
+    values = batch.column(column)
+    for at in range(0, len(values), 256):
+        yield from values.slice(at, 256).to_pylist()
 
 
 def sized_broadcast(df: DataFrame, width: Column, max_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from stayline.llm.common import id_and_text, ids, row_doc, row_tag, tag_of, text_of
+from stayline.llm.common import id_and_text, ids, row_doc, row_tag, tag_of, text_of, texts_of
 from stayline.llm.runs import KEYED, places_by_document, repeated_rows
 
 #: ASCII white space: space and the five controls 9 to 13.
@@ -31,7 +31,7 @@ def line_keys(text: bytes) -> list[bytes]:
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hashes, docs, places = bytearray(), [], []
-        for doc, text in zip(ids(batch).tolist(), batch.column("text").to_pylist()):
+        for doc, text in zip(ids(batch).tolist(), texts_of(batch)):
             tag = tag_of(text) << 32
             for position, key in enumerate(line_keys(text)):
                 if key:
@@ -94,11 +94,10 @@ def kept_lines(text: bytes, keep: bytes) -> bytes:
 
 def _applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column("_text")
         kept = [
             None if text is None else kept_lines(text, keep) if dropped else text
             for text, dropped, keep in zip(
-                texts.to_pylist(), batch.column("_dropped").to_pylist(), batch.column("_keep").to_pylist()
+                texts_of(batch, "_text"), texts_of(batch, "_dropped"), texts_of(batch, "_keep")
             )
         ]
         at = batch.schema.get_field_index("_text")

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from stayline.llm.common import text_of
+from stayline.llm.common import text_of, texts_of
 
 #: Default model file; any SentencePiece unigram or BPE model without a character map will do.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -270,7 +270,7 @@ def _encoder(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Transducer(model.value)
         for batch in batches:
-            rows = [np.array(machine.encode(t or ""), dtype=np.int32) for t in batch.column("text").to_pylist()]
+            rows = [np.array(machine.encode(t or ""), dtype=np.int32) for t in texts_of(batch)]
             offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
             values = np.concatenate(rows) if rows else np.empty(0, dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
@@ -320,7 +320,7 @@ def _round_trips(model):
         machine = Transducer(model.value)
         for batch in batches:
             counts, digests, same = [], [], []
-            for text in batch.column("text").to_pylist():
+            for text in texts_of(batch):
                 ids = machine.encode(text)
                 counts.append(len(ids))
                 digests.append(np.array(ids, dtype="<i4").tobytes())

@@ -18,7 +18,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from stayline.llm.common import id_and_text
+from stayline.llm.common import id_and_text, texts_of
 
 # Kinds in their order, keywords, patterns, shortest lengths.
 BASE_KINDS = ("assign", "access", "hex")
@@ -136,7 +136,7 @@ _OUT = pa.schema(
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for text in batch.column("text").to_pylist():
+        for text in texts_of(batch):
             spans = code_point_spans(text, byte_spans(text))
             base = [s for s in spans if s[2] < len(BASE_KINDS)]
             counts = [sum(s[2] == k for s in base) for k in range(len(BASE_KINDS))]

@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stayline.llm.common import text_of
+from stayline.llm.common import text_of, texts_of
 from stayline.session import staged
 
 
@@ -109,7 +109,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, categories: Sequence[Categ
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [sorted(words_of(t)) for t in batch.column("text").to_pylist()]
+            words = [sorted(words_of(t)) for t in texts_of(batch)]
             at = batch.schema.get_field_index("text")
             columns = list(batch.columns)
             columns[at] = pa.array(words, pa.list_(pa.string()))
@@ -257,7 +257,7 @@ def _scored(chain):
         model = chain.value
         known = KnownWords(model.index)
         for batch in batches:
-            found = [model.probabilities(t, known) for t in batch.column("text").to_pylist()]
+            found = [model.probabilities(t, known) for t in texts_of(batch)]
             columns = list(zip(*found)) if found else [()] * len(model.categories)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array(c, pa.float64()) for c in columns]],
@@ -303,8 +303,7 @@ def without_toxic(
         model = shared.value
         known = KnownWords(model.index)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            stays = [model.probabilities(t or "", known)[-1] < cut for t in texts]
+            stays = [model.probabilities(t or "", known)[-1] < cut for t in texts_of(batch)]
             yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
