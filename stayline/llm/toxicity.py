@@ -41,6 +41,8 @@ SAMPLE_ROWS = 8_000
 FOLDS, MIN_DOCUMENTS, MAX_WORDS = 5, 5, 30_000
 #: Gradient steps, ridge penalty per sample.
 STEPS, PENALTY = 60, 3e-4
+#: Log-odds by which a document must exceed a text without a known word to be rejected.
+MARGIN = 0.5
 #: Letters of a prefix that is a feature beside the word; words that a scorer remembers.
 PREFIX, REMEMBERED = 5, 300_000
 
@@ -249,7 +251,11 @@ def fit_chain(
     judged = out_of_fold.join(sample.select("row", F.col(f"y{len(categories) - 1}").alias("y")), "row").toPandas()
     cut = best_cut(judged["p"].to_numpy(dtype=float), judged["y"].to_numpy(dtype=float))
     table = np.array(weights).reshape(len(categories), -1)
-    return Chain(tuple(c.name for c in categories), index.value, table, links, intercepts, cut)
+    chain = Chain(tuple(c.name for c in categories), index.value, table, links, intercepts, cut)
+    # Clean texts gather small negative weights; a very short one has none to gather and must not count as toxic for it.
+    empty = chain.probabilities("", KnownWords(chain.index))[-1]
+    least = 1 / (1 + (1 - empty) / empty * np.exp(-MARGIN))
+    return chain._replace(threshold=max(cut, float(least)))
 
 
 def _scored(chain):
@@ -273,7 +279,8 @@ def toxicity_scores(
     """Per row: doc_id, the probability of each category (``p_`` and its name), ``rejected``.
 
     ``rejected`` asks the last category for ``threshold``, by default the one with
-    the best F1 on the out-of-fold predictions of the training sample. A null or empty text is
+    the best F1 on the out-of-fold predictions of the training sample, but at
+    least :data:`MARGIN` above what a text without a known word scores. A null or empty text is
     scored by the intercepts alone. Without a labelled document probabilities are
     null and nothing is rejected. Repeated rows are scored alike.
     """
