@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import QuantileDiscretizer
-from pyspark.sql import Column, DataFrame, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, functions as F, types as T, Window as W
 
 from stayline.session import lookup
 
@@ -20,13 +20,21 @@ BLOCKS = 512
 HASH_BITS = 16
 
 
+def _as_number(df: DataFrame, order: str) -> Column:
+    """An order as a double; times and dates through their microseconds."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(order).cast("timestamp_ntz")).cast("double")
+    return F.col(order).cast("double")
+
+
 def cut_blocks(df: DataFrame, order: str, blocks: int = BLOCKS) -> DataFrame:
     """Add ``_block``: which of about ``blocks`` even, ordered slices ``order`` falls into.
 
     The edges are approximate quantiles of a numeric ``order``, found in one
     pass; at most ``blocks`` numbers reach the driver.
     """
-    keyed = df.withColumn("_order", F.col(order).cast("double"))
+    keyed = df.withColumn("_order", _as_number(df, order))
     cutter = QuantileDiscretizer(
         numBuckets=blocks, inputCol="_order", outputCol="_block", relativeError=0.25 / blocks
     )

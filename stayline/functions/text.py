@@ -9,7 +9,7 @@ from pyspark.sql import Column, functions as F
 from stayline.schema import WHITESPACE
 
 # Fixed values: (pattern, replacement) steps that turn an identifier into snake_case.
-_SNAKE_STEPS = (
+SNAKE_STEPS = (
     (r"([a-z0-9])([A-Z])", r"$1_$2"),
     (r"([A-Z]+)([A-Z][a-z])", r"$1_$2"),
     (r"[\s\-]+", "_"),
@@ -22,14 +22,14 @@ NUMBER_PATTERN = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][n
 
 def snake_case(text: str) -> str:
     """snake_case of one identifier, for column names."""
-    for pattern, replacement in _SNAKE_STEPS:
+    for pattern, replacement in SNAKE_STEPS:
         text = re.sub(pattern, replacement.replace("$", "\\"), text)
     return text.lower().strip("_")
 
 
 def snake_case_column(column: Column) -> Column:
     """snake_case of every value of a text column."""
-    for pattern, replacement in _SNAKE_STEPS:
+    for pattern, replacement in SNAKE_STEPS:
         column = F.regexp_replace(column, pattern, replacement)
     return F.trim(F.lower(column), F.lit("_"))
 

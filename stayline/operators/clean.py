@@ -101,29 +101,20 @@ def normalization_changes(
 ) -> DataFrame:
     """(column, changed): whether normalising changes the set of distinct values.
 
-    Normalising is a function of the value, so the sets are compared on the
-    value table. Each value is tagged as seen before, after or both; a tag
-    missing on either side means the sets differ.
+    With labels whose own normal form is stable, as the default ones, normalising
+    twice is normalising once; then the sets differ exactly if some value is not
+    its own normal form. That is one aggregation of all columns, without a value
+    table. A column without a value does not appear.
     """
-    before = value_frequencies(df, columns).select("column", "value")
-    tagged = before.select(
-        "column",
-        F.explode(
-            F.array(
-                F.struct(F.col("value").alias("value"), F.lit(True).alias("old")),
-                F.struct(
-                    normalized_text(F.col("value"), no_service_labels).alias("value"),
-                    F.lit(False).alias("old"),
-                ),
-            )
-        ).alias("t"),
-    )
-    sides = tagged.groupBy("column", "t.value").agg(
-        F.max(F.col("t.old")).alias("_old"), F.max(~F.col("t.old")).alias("_new")
-    )
-    return sides.groupBy("column").agg(
-        F.max(~(F.col("_old") & F.col("_new"))).alias("changed")
+    names = text_columns(df) if columns is None else present(df, columns)
+    texts = {c: F.col(c).cast("string") for c in names}
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, changed boolean")
+    one = df.agg(
+        *[F.max(t != normalized_text(t, no_service_labels)).alias(f"_{i}") for i, t in enumerate(texts.values())]
     )
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_{i}").alias("changed")) for i, c in enumerate(names)])
+    return one.select(F.inline(rows)).where(F.col("changed").isNotNull())
 
 
 def sparse_row(columns: Sequence[str], threshold: float) -> Column:
@@ -192,12 +183,18 @@ def null_impossible(df: DataFrame, rules: Mapping[str, Mapping] = schema.IMPOSSI
     return df.withColumns(changed) if changed else df
 
 
+_IMPOSSIBLE_SCHEMA = "column string, before long, invalid_replaced long, below_min long, above_max long, after long"
+_IQR_SCHEMA = "column string, lower_bound double, upper_bound double, lower_capped long, upper_capped long"
+
+
 def impossible_counts(
     df: DataFrame, rules: Mapping[str, Mapping] = schema.IMPOSSIBLE_RULES
 ) -> DataFrame:
     """Per column with impossible values: NULLs before and after, and counts per rule."""
     kinds = ("invalid_replaced", "below_min", "above_max")
     columns = present(df, list(rules))
+    if not columns:
+        return df.sparkSession.createDataFrame([], _IMPOSSIBLE_SCHEMA)
     aggregates = []
     for c in columns:
         violations = _violations(c, rules[c])
@@ -274,7 +271,9 @@ def iqr_report(
 ) -> DataFrame:
     """Per capped column: lower_bound, upper_bound, lower_capped, upper_capped."""
     columns = present(df, columns)
-    bounds = iqr_bounds(df, columns, (), factor, approximate).collect()
+    bounds = iqr_bounds(df, columns, (), factor, approximate).collect() if columns else []
+    if not bounds:  # no such column, or only NULLs in them
+        return df.sparkSession.createDataFrame([], _IQR_SCHEMA)
     counted = df.agg(
         *[
             F.struct(

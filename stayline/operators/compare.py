@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stayline import schema
-from stayline.functions.numeric import count_if, ratio
+from stayline.functions.numeric import count_if, nan_to_null, ratio
 from stayline.functions.quantiles import exact_quantiles
 from stayline.operators.scoring import probability_columns, probability_spread, risk_group
 
@@ -20,13 +20,22 @@ def _vote_count(votes: dict[str, Column]) -> Column:
     return reduce(lambda a, b: a + b, [v.cast("int") for v in votes.values()])
 
 
+def _usable(predictions: DataFrame, *columns: str) -> DataFrame:
+    """``predictions`` with NaN scores as NULL: no score, hence no vote and no part in a mean."""
+    return predictions.withColumns({c: nan_to_null(F.col(c)) for c in columns})
+
+
 def customer_agreement(
     predictions: DataFrame,
     threshold: float = schema.DECISION_THRESHOLD,
     id_column: str = schema.ID_COLUMN,
 ) -> DataFrame:
-    """Per customer: churn votes, lowest and highest score, spread, agreement, majority."""
+    """Per customer: churn votes, lowest and highest score, spread, agreement, majority.
+
+    A score that is NULL or NaN is no vote for churn.
+    """
     columns = _required(predictions)
+    predictions = _usable(predictions, *columns)
     count = _vote_count(_votes(columns, threshold))
     scores = [F.col(c) for c in columns]
     low = F.least(*scores) if len(scores) > 1 else scores[0]
@@ -68,6 +77,7 @@ def model_comparison(
     ``lineage`` holds model, model_uri, model_version.
     """
     columns = _required(predictions)
+    predictions = _usable(predictions, *columns)
     votes = _votes(columns, threshold)
     count = _vote_count(votes)
     consensus = count * 2 > len(columns)
@@ -129,6 +139,7 @@ def model_comparison(
 def batch_summary(predictions: DataFrame, output_path: str | None = None) -> DataFrame:
     """(metric, key, value): customers, churners, risk split, mean scores, segment sizes."""
     models = probability_columns(predictions)
+    predictions = _usable(predictions, "churn_probability", *models)
 
     def entry(metric: str, value: Column, key: str | None = None) -> Column:
         return F.struct(

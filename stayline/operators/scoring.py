@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stayline import schema
+from stayline.functions.numeric import nan_to_null
 from stayline.functions.times import utc_literal
 from stayline.operators.columns import require
 
@@ -80,8 +81,8 @@ def probabilities_long(df: DataFrame, id_column: str = schema.ID_COLUMN) -> Data
 
 
 def probability_spread(columns: Sequence[str]) -> Column:
-    """Largest minus smallest score of a customer."""
-    scores = [F.col(c) for c in columns]
+    """Largest minus smallest score of a customer; NULL and NaN are no scores."""
+    scores = [nan_to_null(F.col(c)) for c in columns]
     if len(scores) == 1:
         return scores[0] - scores[0]
     return F.greatest(*scores) - F.least(*scores)

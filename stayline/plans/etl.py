@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stayline import schema
 from stayline.functions.times import utc_literal
 from stayline.operators.split import holdout_batch
 from stayline.plans.cleaning import clean_with_log
@@ -48,19 +49,20 @@ def build_if_changed(
     build: Callable[[str], None],
     now: datetime,
     expiry: timedelta | None = None,
+    settings: str = "",
 ) -> tuple[str, bool]:
-    """(output path, whether it was built): reuse the output of identical input.
+    """(output path, whether it was built): reuse the output of identical input and ``settings``.
 
     The fingerprint is one narrow pass without a shuffle, far cheaper than the
     build. Every build gets a new path, so nothing is overwritten in place.
     """
     spark = source.sparkSession
-    print_ = fingerprint.dataset_fingerprint(source).first()["fingerprint"]
+    print_ = fingerprint.dataset_fingerprint(source).first()["fingerprint"] + (f"-{settings}" if settings else "")
     manifest = Manifest(spark, f"{root}/manifest")
     known = manifest.find(print_, now, expiry)
     if known is not None:
         return known, False
-    path = f"{root}/{now.strftime('%Y%m%dT%H%M%S')}-{print_[:12]}"
+    path = f"{root}/{now.strftime('%Y%m%dT%H%M%S')}-{print_[:12]}{print_[32:]}"
     build(path)
     manifest.record(print_, path, now)
     return path, True
@@ -78,14 +80,17 @@ def run_etl(raw: DataFrame, root: str, now: datetime, approximate: bool = False)
         writers.write_cleaned(result.cleaned, f"{path}/cleaned")
         writers.write_report(result.log, f"{path}/log")
 
-    return build_if_changed(raw, f"{root}/etl", build, now, fingerprint.EXPIRY)
+    settings = "approximate" if approximate else "exact"
+    return build_if_changed(raw, f"{root}/etl", build, now, fingerprint.EXPIRY, settings)
 
 
-def prepare_batch(cleaned: DataFrame, root: str, now: datetime) -> tuple[str, bool]:
-    """Write the held-out customers as a batch, anew only when their source changed."""
+def prepare_batch(
+    cleaned: DataFrame, root: str, now: datetime, share: float = schema.TEST_SHARE, seed: int = schema.SPLIT_SEED
+) -> tuple[str, bool]:
+    """Write the held-out customers as a batch, anew only when their source, share or seed changed."""
 
     def build(path: str) -> None:
-        holdout_batch(cleaned).write.parquet(f"{path}.parquet")
+        holdout_batch(cleaned, share=share, seed=seed).write.parquet(f"{path}.parquet")
 
-    path, built = build_if_changed(cleaned, f"{root}/batches", build, now)
+    path, built = build_if_changed(cleaned, f"{root}/batches", build, now, settings=f"share{share:g}-seed{seed}")
     return f"{path}.parquet", built

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from stayline import schema
 from stayline.fixtures import churn_raw, scored, table
-from stayline.operators import clusters, encode, features, metrics, split
+from stayline.operators import clusters, encode, features, metrics, services, split
 from stayline.plans.cleaning import clean_customers, typed
 from stayline.queries.registry import (
     SCORED,
+    TOTAL_SERVICES,
     clean_sql,
     query,
     raw_sql,
@@ -89,14 +90,14 @@ def holdout_batch(spark, sf_dir):
 # -- features ------------------------------------------------------------------
 
 
-_CATEGORIES = [c for c in schema.CATEGORICAL_FEATURES if c not in ("tenure", "senior_citizen")]
+_CATEGORIES = list(schema.CATEGORICAL_FEATURES)
 
 
 @query(
     "one_hot_columns",
     typed_sql(
         " UNION ALL ".join(
-            f"SELECT customer_id, '{c}=' || COALESCE({c}, 'nan') AS feature, CAST(1 AS INTEGER) AS value FROM unique_typed"
+            f"SELECT customer_id, '{c}=' || COALESCE(CAST({c} AS VARCHAR), 'nan') AS feature, CAST(1 AS INTEGER) AS value FROM unique_typed"
             for c in _CATEGORIES
         ),
         "unique_typed AS (SELECT DISTINCT * FROM typed)",
@@ -114,12 +115,18 @@ def _scale_sql(source: str, key: str, names, train: str = "") -> str:
     return f"SELECT {key}, {scaled} FROM {source} CROSS JOIN (SELECT {statistics} FROM {source} {train}) s"
 
 
-_SCALED = ["monthly_charges", "total_charges"]
+_SCALED = list(schema.NUMERIC_FEATURES)
 
 
-@query("standard_scale", typed_sql(_scale_sql("typed", "customer_id", _SCALED)))
+@query(
+    "standard_scale",
+    typed_sql(
+        _scale_sql("served", "customer_id", _SCALED),
+        f"served AS (SELECT *, {TOTAL_SERVICES} AS total_services FROM typed)",
+    ),
+)
 def standard_scale(spark, sf_dir):
-    rows = typed(churn_raw(spark, sf_dir)).select("customer_id", *_SCALED)
+    rows = services.total_services(typed(churn_raw(spark, sf_dir))).select("customer_id", *_SCALED)
     return rounded_columns(features.standard_scale(rows, _SCALED), 6, *_SCALED)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stayline import schema
 from stayline.functions.numeric import round_to
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,10 +168,7 @@ def capped(columns) -> str:
     )
 
 
-SERVICES = (
-    "phone_service multiple_lines internet_service online_security online_backup "
-    "device_protection tech_support streaming_tv streaming_movies"
-).split()
+SERVICES = list(schema.SERVICE_COLUMNS)
 TOTAL_SERVICES = (
     "CAST(" + " + ".join(f"CASE WHEN lower({c}) = 'no' THEN 0 ELSE 1 END" for c in SERVICES) + " AS INTEGER)"
 )

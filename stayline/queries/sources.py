@@ -74,11 +74,12 @@ def extraction_profile(spark, sf_dir):
 
 
 def _fingerprint_sql(source: str, names) -> str:
-    parts = ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '∅')" for c in names)
+    text = [f"CAST({c} AS VARCHAR)" for c in names]
+    parts = " || ".join(f"COALESCE(CAST(length({t}) AS VARCHAR) || ':' || {t}, '-')" for t in text)
     return f"""SELECT *, md5(concat_ws('|', CAST(rows AS VARCHAR), CAST("xor" AS VARCHAR), CAST(total AS VARCHAR))) AS fingerprint
     FROM (SELECT COUNT(*) AS rows, COALESCE(bit_xor(h), 0) AS "xor",
       CAST(COALESCE(SUM(h % 1000000007), 0) AS BIGINT) AS total
-      FROM (SELECT CAST('0x' || substr(md5(concat_ws('|', {parts})), 1, 15) AS BIGINT) AS h FROM {source}) d) t"""
+      FROM (SELECT CAST('0x' || substr(md5({parts}), 1, 15) AS BIGINT) AS h FROM {source}) d) t"""
 
 
 @query("dataset_fingerprint", raw_sql(_fingerprint_sql("churn_raw", RAW_COLUMNS)))
@@ -87,9 +88,18 @@ def dataset_fingerprint(spark, sf_dir):
 
 
 _LINE = (
-    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
-    "l_returnflag l_linestatus l_shipdate"
-).split()
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+    "l_shipdate",
+)
 
 
 @query("dataset_fingerprint_lineitem", _fingerprint_sql("lineitem", _LINE))

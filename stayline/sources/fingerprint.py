@@ -13,9 +13,17 @@ EXPIRY = timedelta(days=3)
 
 
 def row_digest(df: DataFrame) -> Column:
-    """Hex md5 over all columns of a row, NULL told apart from text."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("∅")) for c in df.columns]
-    return F.md5(F.concat_ws("|", *parts).cast("binary"))
+    """Hex md5 over all columns of a row.
+
+    Every value is led by its length, and NULL is a mark without one, so no two
+    different rows read alike.
+    """
+
+    def part(c: str) -> Column:
+        text = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.md5(F.concat(*[part(c) for c in df.columns]).cast("binary"))
 
 
 def dataset_fingerprint(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from stayline import schema
 
@@ -18,7 +18,8 @@ def read_raw_csv(
     """Delimited extract with a header and an explicit schema.
 
     Every column is read as text first, so that all the usual tokens for
-    "missing" become NULL before a type is applied. Blanks stay text.
+    "missing" become NULL before a type is applied. Blanks stay text. An integer
+    column also takes whole numbers written with a point, as in ``34.0``.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in columns])
     rows = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
@@ -28,19 +29,27 @@ def read_raw_csv(
             (
                 known[f.name]
                 if isinstance(f.dataType, T.StringType)
-                else F.trim(known[f.name]).try_cast(f.dataType)
+                else _typed(F.trim(known[f.name]), f.dataType)
             ).alias(f.name)
             for f in columns
         ]
     )
 
 
+def _typed(text: Column, kind: T.DataType) -> Column:
+    value = text.try_cast(kind)
+    if not isinstance(kind, T.IntegralType):
+        return value
+    number = text.try_cast("double")
+    return F.coalesce(value, F.when(number == F.floor(number), number.try_cast(kind)))
+
+
 def batch_format(path: str) -> str:
     """``parquet`` or ``csv`` by suffix; anything else is an error."""
     name = path.rstrip("/").rsplit("/", 1)[-1]
     suffix = name.rsplit(".", 1)[-1] if "." in name else ""
     if suffix not in ("parquet", "csv"):
-        raise ValueError(f"unsupported batch format '{suffix}' (expected .parquet or .csv)")
+        raise ValueError(f"cannot read a batch from '{name}': its name must end in .parquet or .csv")
     return suffix
 
 

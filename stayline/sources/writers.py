@@ -31,8 +31,11 @@ def append_batch(df: DataFrame, path: str, batch_id: str) -> str:
     """Append one batch to a table partitioned by ``batch_id``.
 
     Writing the same batch again replaces only its own partition, so a
-    repeated run does not double it. The schema must not change between batches.
+    repeated run does not double it; an empty batch leaves none of its old rows.
+    The schema must not change between batches.
     """
+    if df.isEmpty():
+        _drop_partition(df.sparkSession, path, batch_id)
     (
         df.withColumn("batch_id", F.lit(batch_id))
         .write.mode("overwrite")
@@ -43,6 +46,12 @@ def append_batch(df: DataFrame, path: str, batch_id: str) -> str:
     return path
 
 
+def _drop_partition(spark: SparkSession, path: str, batch_id: str) -> None:
+    """Delete the folder of one batch, which a dynamic overwrite by no rows would leave."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, f"batch_id={batch_id}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_history(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
     """All batches; ``batch_id`` is text and comes from the partition folders."""
     fields = [f for f in columns if f.name != "batch_id"] + [T.StructField("batch_id", T.StringType())]

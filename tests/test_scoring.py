@@ -129,20 +129,37 @@ def test_comparison_edge_cases(batch):
     assert (single.batch_disagree, single.batch_mean_probability_spread) == (0, 0.0)
 
 
-def test_batch_summary(make):
+def test_batch_summary_adds_up(make):
+    rows = [(f"k{i}", i / 11, None if i == 3 else (10 - i) / 11, int(i > 6), schema.RISK_GROUPS[i % 3], i // 4) for i in range(11)]
+    rows.append(("nan", float("nan"), float("nan"), 0, "Low", None))
     df = make(
-        [("a", 0.95, 0.9, 1, "High", 0), ("b", 0.75, 0.7, 1, "High", 1), ("c", 0.5, 0.5, 1, "Medium", 1), ("d", 0.15, 0.2, 0, "Low", 2)],
+        rows,
         "customer_id string, churn_probability double, churn_probability_rf double, churn_prediction int, risk_group string, segment int",
     )
     found = {(r.metric, r.key): r.value for r in compare.batch_summary(df, "/out").collect()}
-    assert found["n_customers", None] == 4 and found["n_predicted_churn", None] == 3
-    assert [found["risk_group", g] for g in schema.RISK_GROUPS] == [1, 1, 2]
-    assert found["avg_churn_probability", None] == pytest.approx(0.5875)
-    assert found["avg_churn_probability_per_model", "rf"] == pytest.approx(0.575)
-    assert found["segment", "1"] == 2 and ("output_path", "/out") in found
+    assert found["n_customers", None] == 12 and found["n_predicted_churn", None] == 4
+    assert [found["risk_group", g] for g in schema.RISK_GROUPS] == [5, 4, 3]
+    assert found["avg_churn_probability", None] == pytest.approx(5 / 11)
+    assert found["avg_churn_probability_per_model", "rf"] == pytest.approx((55 - 7) / 110)
+    assert [found["segment", str(s)] for s in range(3)] == [4, 4, 3] and ("output_path", "/out") in found
     assert ("segment", "0") not in {(r.metric, r.key) for r in compare.batch_summary(df.drop("segment")).collect()}
 
 
+def test_nan_is_no_vote(make):
+    nan = float("nan")
+    df = make(
+        [("a", nan, 0.9, 0.2), ("b", None, nan, 0.7)],
+        "customer_id string, churn_probability_x double, churn_probability_y double, churn_probability_z double",
+    )
+    found = {r.customer_id: r for r in compare.customer_agreement(df).collect()}
+    assert (found["a"].churn_votes, found["b"].churn_votes) == (1, 1)
+    assert found["a"].probability_spread == pytest.approx(0.7) and found["b"].max_probability == 0.7
+    models = {r.model: r for r in compare.model_comparison(df).collect()}
+    assert models["y"].n_predicted_churn == 1 and models["y"].mean_churn_probability == pytest.approx(0.9)
+    assert models["x"].mean_churn_probability is None
+    assert models["x"].batch_mean_probability_spread == pytest.approx(0.35)
+
+
 def test_long_probabilities(batch):
     long = scoring.probabilities_long(batch)
     assert long.count() == 12 and set(column(long, "model")) == {"lr", "rf", "gb"}

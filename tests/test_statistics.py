@@ -104,10 +104,12 @@ def test_scratch_follows_the_session_setting():
     shared = FakeSession("yarn", "hdfs://shared/scratch/")
     assert scratch_path(shared, "x").startswith("hdfs://shared/scratch/stayline/x-")
     assert scratch_path(shared, "x") != scratch_path(shared, "x")
-    local = FakeSession("local[2]")
-    assert scratch_path(local, "x").rsplit("/", 2)[0] == scratch_path(local, "y").rsplit("/", 2)[0]
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_path(FakeSession("spark://host:7077"), "x")
+
+
+def test_scratch_falls_back_to_the_warehouse(spark):
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "y")
+    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    assert "/stayline/x-" in first and first.startswith(spark.conf.get("spark.sql.warehouse.dir").rstrip("/")), first
 
 
 # -- splits --------------------------------------------------------------------
@@ -150,15 +152,16 @@ def test_holdout_batch_has_no_target(customers):
 
 
 def test_confusion_counts(make):
-    rows = list(zip([0, 0, 0, 1, 1, 1], [0, 0, 1, 0, 1, 1]))
+    kinds = {(0, 0): 7, (0, 1): 3, (1, 0): 5, (1, 1): 10}
+    rows = [pair for pair, times in kinds.items() for _ in range(times)]
     row = metrics.confusion_metrics(make(rows, "label int, prediction int")).first()
-    assert (row.true_negatives, row.false_positives, row.false_negatives, row.true_positives) == (2, 1, 1, 2)
-    assert row.accuracy == pytest.approx(4 / 6) and row.f1_score == pytest.approx(2 / 3)
+    assert (row.true_negatives, row.false_positives, row.false_negatives, row.true_positives) == (7, 3, 5, 10)
+    assert row.accuracy == pytest.approx(17 / 25) and row.f1_score == pytest.approx(20 / 28)
 
 
 def test_metrics_without_positives_are_zero(make):
-    row = metrics.confusion_metrics(make([(0, 0), (1, 0)], "label int, prediction int")).first()
-    assert (row.precision, row.recall, row.f1_score, row.accuracy) == (0.0, 0.0, 0.0, 0.5)
+    row = metrics.confusion_metrics(make([(0, 0)] * 3 + [(1, 0)], "label int, prediction int")).first()
+    assert (row.precision, row.recall, row.f1_score, row.accuracy) == (0.0, 0.0, 0.0, 0.75)
     empty = metrics.confusion_metrics(make([], "label int, prediction int")).first()
     assert empty.accuracy == 0.0
 
@@ -168,9 +171,11 @@ def auc(make, rows):
 
 
 def test_auc(make):
-    assert auc(make, [(0, 0.1), (0, 0.2), (1, 0.7), (1, 0.8)]) == 1.0
-    assert auc(make, [(0, 0.5), (1, 0.5)]) == 0.5
-    assert auc(make, [(1, 0.5), (1, 0.9)]) is None
+    ladder = [(i % 2, i / 10) for i in range(1, 8)]
+    assert auc(make, ladder) == pytest.approx(6 / 12)
+    assert auc(make, [(y, s + 5 * y) for y, s in ladder]) == 1.0
+    assert auc(make, [(y, 3.0) for y, _ in ladder]) == 0.5
+    assert auc(make, [(0, s) for _, s in ladder]) is None
 
 
 def test_auc_equals_pairwise_count_with_a_hot_score(make):
