@@ -128,25 +128,51 @@ class RunStore:
             results[PRIMARY] = self.register_champion(PRIMARY, runs[best], metric)
         return results
 
-    def load_champion(
-        self, registry: str, preprocessors: dict[str, PipelineModel] | None = None
+    def version(self, registry: str, number: int) -> tuple[int, str] | None:
+        """(version, run id) of one version of a registry."""
+        row = self.table("versions").where((F.col("registry") == registry) & (F.col("version") == number)).first()
+        return (row["version"], row["run_id"]) if row else None
+
+    def resolve(self, model: str) -> tuple[str, tuple[int, str] | None]:
+        """(registry, (version, run id)) of a name, ``models:/name@champion`` or ``models:/name/3``.
+
+        A name alone means its champion; None stands for what is not registered.
+        """
+        named = model.removeprefix("models:/")
+        registry, _, alias = named.partition("@")
+        if alias:
+            if alias != ALIAS:
+                raise ValueError(f"'{model}' asks for the alias '{alias}'; only '{ALIAS}' is kept")
+            return registry, self.champion(registry)
+        registry, _, number = named.partition("/")
+        if not number:
+            return registry, self.champion(registry)
+        if not number.isdigit():
+            raise ValueError(f"'{model}' ends in no version number")
+        return registry, self.version(registry, int(number))
+
+    def load_champion(self, registry: str, loaded: dict[str, object] | None = None) -> FittedModel | None:
+        """The fitted model behind the alias, or None if nothing was registered or saved."""
+        return self.load(self.resolve(registry)[1], registry, loaded)
+
+    def load(
+        self, version: tuple[int, str] | None, name: str, loaded: dict[str, object] | None = None
     ) -> FittedModel | None:
-        """The fitted model behind the alias, or None if nothing was registered or saved.
+        """The fitted model of a version, under ``name``; None if it was not registered or saved.
 
-        ``preprocessors`` collects loaded preprocessors by path, so that several
-        champions of one training share one.
+        ``loaded`` collects preprocessors and models by path, so that champions of
+        one training share a preprocessor, and the primary its model.
         """
-        current = self.champion(registry)
-        if current is None:
+        if version is None:
             return None
-        row = self.table("runs").where(F.col("run_id") == current[1]).first()
+        row = self.table("runs").where(F.col("run_id") == version[1]).first()
         if row is None or row["artifact"] is None:
             return None
-        loaded = {} if preprocessors is None else preprocessors
-        path = row["preprocessor"]
-        if path not in loaded:
-            loaded[path] = PipelineModel.load(path)
-        return FittedModel.load(registry, loaded[path], row["artifact"])
+        shared = {} if loaded is None else loaded
+        for path in (row["preprocessor"], row["artifact"]):
+            if path not in shared:
+                shared[path] = PipelineModel.load(path)
+        return FittedModel(name, shared[row["preprocessor"]], shared[row["artifact"]].stages[0])
 
     def lineage(self) -> DataFrame:
         """(model, model_uri, model_version) of every registry's champion."""

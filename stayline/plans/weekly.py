@@ -9,8 +9,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from stayline import schema
-from stayline.operators import compare, scoring, split
-from stayline.plans.batch import score_batch
+from stayline.operators import split
+from stayline.plans.batch import run_batch
 from stayline.plans.etl import prepare_batch, run_etl
 from stayline.plans.registry import RunStore, log_search
 from stayline.plans.training import (
@@ -23,7 +23,6 @@ from stayline.plans.training import (
     search,
     space_params,
 )
-from stayline.sources import writers
 from stayline.sources.readers import read_batch
 
 
@@ -76,14 +75,15 @@ def run_weekly(
     folds: int = schema.FOLDS,
     parallelism: int = 4,
     with_csv: bool = False,
+    settings: Mapping | None = None,
 ) -> WeeklyResult:
     """Run all stages in order below ``root``; a failing stage stops the run.
 
     ``with_csv`` also exports the batch's predictions and comparison as
-    delimited files with a header.
+    delimited files with a header. ``settings`` go to the batch job: threshold,
+    risk bounds, models.
     """
     spark = raw.sparkSession
-    batch_id = scoring.batch_id(at)
     path, _ = run_etl(raw, root, at)
     cleaned = spark.read.parquet(f"{path}/cleaned")
 
@@ -91,21 +91,5 @@ def run_weekly(
     train_and_register(cleaned, store, models, folds, parallelism)
 
     batch, _ = prepare_batch(cleaned, root, at)
-    scored = score_batch(store, read_batch(spark, batch), batch_id, at, cleaned)
-    table = writers.append_batch(scored, f"{root}/predictions", batch_id)
-    history = writers.read_history(spark, table, scored.schema)
-    predictions = history.where(F.col("batch_id") == batch_id)
-
-    report = writers.with_comparison_lineage(
-        compare.model_comparison(predictions, store.lineage()), batch_id, at
-    )
-    reports = writers.append_batch(report, f"{root}/comparison", batch_id)
-    comparison = writers.read_history(spark, reports, report.schema).where(F.col("batch_id") == batch_id)
-    if with_csv:
-        writers.export_csv(predictions, f"{root}/export/predictions-{batch_id}.csv")
-        writers.export_csv(comparison, f"{root}/export/comparison-{batch_id}.csv")
-    summary = compare.batch_summary(predictions, table)
-    # A handful of rows: totals, risk groups, models and segments.
-    measured = {".".join(filter(None, (r["metric"], r["key"]))): r["value"] for r in summary.collect()}
-    store.log_run(f"batch-{batch_id}", {}, measured)
-    return WeeklyResult(predictions, comparison, summary)
+    scored = run_batch(store, read_batch(spark, batch), root, at, cleaned, with_csv=with_csv, **(settings or {}))
+    return WeeklyResult(scored.predictions, scored.comparison, scored.summary)

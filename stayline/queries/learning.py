@@ -70,7 +70,7 @@ def kfold_plain(spark, sf_dir):
     return split.kfold(_keys(spark, sf_dir).select("customer_id"), target=None)
 
 
-_HELD = f"held AS ({_split_sql('cleaned', 'customer_id', 'churn')})"
+HELD = f"held AS ({_split_sql('cleaned', 'customer_id', 'churn')})"
 
 
 @query(
@@ -79,7 +79,7 @@ _HELD = f"held AS ({_split_sql('cleaned', 'customer_id', 'churn')})"
         f"""SELECT c.* EXCLUDE (churn) REPLACE ({rounded('c.monthly_charges', 4)} AS monthly_charges,
         {rounded('c.total_charges', 4)} AS total_charges, {rounded('c.tenure', 4)} AS tenure)
         FROM cleaned c WHERE customer_id IN (SELECT customer_id FROM held WHERE is_test)""",
-        _HELD,
+        HELD,
     ),
 )
 def holdout_batch(spark, sf_dir):
@@ -143,7 +143,7 @@ def standard_scale_lineitem(spark, sf_dir):
     "standard_scale_train_test",
     clean_sql(
         _scale_sql("joined", "customer_id, is_test", _SCALED, "WHERE NOT is_test"),
-        _HELD,
+        HELD,
         "joined AS (SELECT c.*, h.is_test FROM cleaned c JOIN held h ON h.customer_id = c.customer_id)",
     ),
 )

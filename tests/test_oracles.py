@@ -10,9 +10,9 @@ ORACLES = entry_module.oracle_sql()
 QUERIES = entry_module.queries()
 SF = f"{DATA}/sf0.001"
 # Fitted models: behaviour is tested in test_training.
-UNCHECKED = {
-    "lr_scores", "rf_scores", "gbt_scores", "kmeans_k_selection", "train_all", "score_batch", "weekly_summary",
-}
+UNCHECKED = {"lr_scores", "rf_scores", "gbt_scores", "kmeans_k_selection"}
+# Whole training runs: minutes each, left to the comparison script and the driver.
+SLOW = {"train_all", "score_batch", "weekly_summary"}
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +29,7 @@ def test_flagship(spark):
     assert entry_module.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
 def test_query_equals_sql(spark, duck, name):
     problems = compare(spark, duck, QUERIES[name], ORACLES[name], SF)
     assert [p for p in problems if "empty" not in p] == []

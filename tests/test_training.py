@@ -8,23 +8,37 @@ from stayline import schema
 from stayline.fixtures import churn_raw
 from stayline.operators import features
 from stayline.plans import training
-from stayline.plans.batch import generate_predictions
+from stayline.plans.batch import generate_predictions, load_models, run_batch
 from stayline.plans.registry import PRIMARY, RunStore
 from stayline.plans.training import CLUSTERING, TrainingSet, search
 from stayline.plans.weekly import full_search, run_weekly
-from stayline.queries.models import SMALL
 from stayline.session import scratch_path
 from tests.compare import DATA
 
+# Settings for tests only.
+SMALL = {
+    "logistic_regression": [{"C": 1.0, "iterations": 20}],
+    "random_forest": [{"n_estimators": 8, "max_depth": 5, "class_weight": "balanced"}],
+    "gradient_boosting": [{"max_iter": 4, "max_depth": 3, "min_samples_leaf": 10}],
+    CLUSTERING: [{"n_clusters": 3, "restarts": 2}],
+}
+
 
 def test_search_sizes():
     sizes = {name: len(trials) for name, trials in full_search().items()}
     assert sizes == {"logistic_regression": 48, "random_forest": 25, "gradient_boosting": 25, "kmeans": 7}
-    assert len(training.grid(*training.LOGISTIC_DEFAULT_GRIDS)) == 48
     assert training.sampled(training.FOREST_SPACE) == training.sampled(training.FOREST_SPACE)
     assert len(training.grid(training.FOREST_SPACE)) == 432 and len(training.grid(training.BOOSTING_SPACE)) == 324
 
 
+def test_no_two_trials_are_the_same_fit():
+    for name in ("random_forest", "gradient_boosting"):
+        trials = training.default_trials(name)
+        assert len({training.effective(t) for t in trials}) == len(trials) == 25
+    assert training.effective({"max_iter": 9, "max_depth": None}) == training.effective({"max_iter": 9, "max_depth": 5, "l2_regularization": 1.0})
+    assert len(training.sampled({"max_iter": (1,), "max_depth": (5, None)})) == 1
+
+
 def test_unknown_models_are_refused(customers):
     with pytest.raises(ValueError, match="unsupported"):
         training.default_trials("svm")
@@ -113,7 +127,7 @@ def test_evaluation_routes_by_model(results):
     held = training.evaluate(found["random_forest"].fitted, data)
     assert held["roc_auc"] > 0.9 and held["true_positives"] + held["false_negatives"] == 54
     sizes = training.evaluate(found[CLUSTERING].fitted, data)
-    assert sizes["n_clusters"] >= 2 and "silhouette_score" in sizes and sizes["inertia"] > 0
+    assert sizes["n_clusters"] >= 2 and "silhouette_squared" in sizes and sizes["inertia"] > 0
     with pytest.raises(ValueError, match="target"):
         training.evaluate(found["random_forest"].fitted, data.drop("churn"))
 
@@ -139,7 +153,7 @@ def test_predictions(results):
 def test_prediction_errors(results):
     data, found = results
     fitted = {n: r.fitted for n, r in found.items()}
-    with pytest.raises(ValueError, match="not available"):
+    with pytest.raises(ValueError, match="missing among"):
         generate_predictions(fitted, data, primary="absent")
     with pytest.raises(ValueError, match="segmentation"):
         generate_predictions(fitted, data, primary="random_forest", segmentation=None)
@@ -161,6 +175,42 @@ def test_saved_models_score_alike(spark, results):
     assert before == after
 
 
+def test_batch_job_with_its_own_settings(spark, results):
+    data, found = results
+    root = scratch_path(spark, "batch-job")
+    store = RunStore(spark, f"{root}/registry")
+    for score in (0.5, 0.7):  # two versions of the logistic model, the second is champion
+        fitted = found["logistic_regression"].fitted
+        run_id = store.log_run("logistic_regression", {}, {"cv_score": score}, fitted.save(f"{root}/artifacts"))
+        store.register_champion("logistic_regression", run_id)
+    store.register_champion(PRIMARY, run_id)
+    saved = found["random_forest"].fitted.save(f"{root}/artifacts")
+    broken = store.log_run("random_forest", {}, {"cv_score": 0.6}, (saved[0], f"{root}/artifacts/gone"))
+    store.register_champion("random_forest", broken)
+
+    loaded = load_models(store)
+    assert list(loaded.models) == [PRIMARY, "logistic_regression"]
+    assert loaded.models[PRIMARY].model.uid == loaded.models["logistic_regression"].model.uid
+    assert set(loaded.absent) == {"random_forest", "gradient_boosting", CLUSTERING}
+    assert load_models(store, ["models:/logistic_regression/1"], "models:/logistic_regression/1").primary_version == 1
+    for wrong in ("models:/logistic_regression/9", "absent"):
+        with pytest.raises(ValueError, match="not in the registry"):
+            load_models(store, primary=wrong)
+    with pytest.raises(ValueError, match="alias"):
+        store.resolve("models:/primary@other")
+
+    out = run_batch(store, data.drop("churn"), root, datetime(2024, 1, 1, 9), threshold=0.3, low=0.2, high=0.9)
+    rows = out.predictions.collect()
+    assert all((r.churn_prediction == 1) == (r.churn_probability >= 0.3) for r in rows) and len(rows) == 160
+    assert {r.risk_group for r in rows if r.churn_probability >= 0.9} <= {"High"}
+    compared = out.comparison.first()
+    assert compared.n_predicted_churn == sum(r.churn_prediction for r in rows)
+    assert compared.risk_high == sum(r.risk_group == "High" for r in rows)
+    summary = {(r.metric, r.key) for r in out.summary.collect()}
+    assert {("output_path", out.predictions_path), ("comparison_path", out.comparison_path), ("absent_model", "random_forest")} <= summary
+    assert store.table("run_params").where("param = 'threshold' AND value = '0.3'").count() == 1
+
+
 def test_weekly_run(spark):
     root = scratch_path(spark, "weekly")
     raw = churn_raw(spark, f"{DATA}/sf0.001")
