@@ -58,9 +58,19 @@ def _stream(min_docs: int, keep_first: bool, with_first: bool):
         return (n_docs >= min_docs) & ((doc != first) if keep_first else True)
 
     def edge(k1, k2, doc, at):
-        """A run at an end of the partition: its rows wait, unless nothing can bring them back."""
+        """A run at an end of the partition.
+
+        What is out already stays out, whatever the neighbours hold: all rows if
+        enough documents are here, but for those of the first document where the
+        first is kept. The others, of fewer than ``min_docs`` documents, wait.
+        """
         first, n_docs = doc[0], int(_starts(doc, at >> 32).sum())
-        yield _rows(_WAITS, (k1[0], k2[0]), doc, at, first, 0, with_first)
+        out = np.full(len(doc), n_docs >= min_docs)
+        if keep_first or with_first:
+            out &= doc != first
+        if out.any():
+            yield _rows(_FINAL, (k1[out], k2[out]), doc[out], at[out], first, 0, with_first)
+        yield _rows(_WAITS, (k1[0], k2[0]), doc[~out], at[~out], first, 0, with_first)
         yield _rows(_SUMMARY, (k1[0], k2[0]), doc[:1], at[:1], first, n_docs, with_first)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,8 +119,10 @@ def repeated_rows(
     """Rows of ``keyed`` (:data:`KEYED`, no nulls) whose key occurs in at least ``min_docs`` documents.
 
     With ``keep_first`` the rows of the key's smallest ``doc`` are left out. The
-    result is (doc, at), with ``with_first`` also k1, k2 and ``first_doc``, written
-    once to shared storage. No rows in, no rows out; repeated rows come back repeated.
+    result is (doc, at), with ``with_first`` also k1, k2 and ``first_doc``, a
+    smallest document of the key: where a run spans partitions, that of the rows
+    of one partition, which in turn is paired with the smallest of all. It is
+    written once to shared storage. No rows in, no rows out; repeated rows come back repeated.
     """
     marked = (
         keyed.select("k1", "k2", "doc", "at")

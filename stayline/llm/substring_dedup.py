@@ -16,14 +16,14 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from stayline.llm.common import NO_ID, id_and_text, ids, row_doc, row_tag, tag_of, text_of
+from stayline.llm.common import NO_ID, id_and_text, ids, row_doc, row_tag, tag_of, text_of, texts_of
 from stayline.llm.runs import KEYED, places_by_document, repeated_rows
 from stayline.session import staged
 
 #: Words of a window.
 WINDOW = 50
-#: Rows of the sketch; bits of cells per row: least, and most (2^29 cells: 64 MB per row, the bound of the broadcast).
-DEPTH, MIN_BITS, MAX_BITS = 2, 16, 29
+#: Rows of the sketch; bits of cells per row: least, and most (2^28 cells: 32 MB per row, which bounds the broadcast).
+DEPTH, MIN_BITS, MAX_BITS = 2, 16, 28
 #: Cells of a block, the unit in which sketches are shuffled and merged.
 BLOCK_BITS = 20
 #: Windows collected before a partition hands on what it has counted.
@@ -37,7 +37,7 @@ _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 class WordHashes(dict):
     """64-bit hash of a word, remembered; forgets all when it holds too many."""
 
-    LIMIT = 500_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -121,7 +121,7 @@ def _partial_sketches(window: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, held, n = Windows(window), [], 0
         for batch in batches:
-            for doc, text in zip(ids(batch), batch.column("text").to_pylist()):
+            for doc, text in zip(ids(batch), texts_of(batch)):
                 if doc != NO_ID and (keys := windows.keys(text)):
                     held.append(keys)
                     n += len(keys[0])
@@ -165,7 +165,7 @@ def _merged(bits: int):
 
 
 def repeated_cells(docs: DataFrame, window: int, bits: int) -> np.ndarray:
-    """The merged sketch as one bitmap, rows one after another: ``DEPTH`` x 2^bits bits, at most 128 MB."""
+    """The merged sketch as one bitmap, rows one after another: ``DEPTH`` x 2^bits bits, at most 64 MB."""
     merged = (
         docs.mapInArrow(_partial_sketches(window, bits), "block int, once binary, more binary")
         .repartition("block")
@@ -184,7 +184,7 @@ def _candidates(window: int, bits: int, sketch):
         windows, table = Windows(window), np.frombuffer(sketch.value, dtype=np.uint8)
         for batch in batches:
             found: list[list[np.ndarray]] = [[], [], [], []]
-            for doc, text in zip(ids(batch), batch.column("text").to_pylist()):
+            for doc, text in zip(ids(batch), texts_of(batch)):
                 if doc == NO_ID or not (keys := windows.keys(text)):
                     continue
                 at = np.arange(len(keys[0]))
@@ -203,8 +203,11 @@ def _candidates(window: int, bits: int, sketch):
 
 
 def sketch_bits(windows: int) -> int:
-    """Bits of cells per row: at least two cells per window, within the bounds."""
-    return min(MAX_BITS, max(MIN_BITS, (2 * max(windows, 1) - 1).bit_length()))
+    """Bits of cells per row: at least 1.5 cells per window, within the bounds.
+
+    Beyond the upper bound the sketch lets more windows through; none is lost.
+    """
+    return min(MAX_BITS, max(MIN_BITS, (3 * max(windows, 1) // 2).bit_length()))
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -235,7 +238,7 @@ def _kept(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for text, places in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist()):
+            for text, places in zip(texts_of(batch), texts_of(batch, "places")):
                 words = text.split()
                 n_words.append(len(words))
                 if places:
