@@ -62,11 +62,29 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
         at += size
 
 
+class Memory:
+    """A bounded memory of two generations: what is not met for one of them is forgotten."""
+
+    def __init__(self, limit: int):
+        self.limit, self.recent, self.older = limit, {}, {}
+
+    def again(self, key):
+        """A value of the older generation, made recent; None if unknown."""
+        value = self.older.get(key)
+        return value if value is None else self.put(key, value)
+
+    def put(self, key, value):
+        if len(self.recent) >= self.limit:
+            self.older, self.recent = self.recent, {}
+        self.recent[key] = value
+        return value
+
+
 class Transducer:
     """The compiled machines of one model."""
 
-    #: Words whose encodings are remembered, and pairs whose adjacency is.
-    REMEMBERED = 300_000
+    #: Words remembered per generation, and pairs whose adjacency is.
+    REMEMBERED = 250_000
 
     def __init__(self, model: bytes):
         self.names: list[str] = []
@@ -90,12 +108,22 @@ class Transducer:
         self.arcs = {n: i for i, (n, t) in enumerate(zip(self.names, self.types)) if t in (_NORMAL, _USER)}
         self.bytes = {int(n[1:-1], 16): i for i, (n, t) in enumerate(zip(self.names, self.types)) if t == _BYTE}
         self.unknown = self.types.index(_UNKNOWN)
-        self.longest = max(map(len, self.arcs), default=1)
         self.lowest = min((self.scores[i] for i in self.arcs.values()), default=0.0)
-        self._words: dict[str, tuple[int, ...]] = {}
+        self._words = Memory(self.REMEMBERED)
         self._pairs: dict[int, bool] = {}
         self._spines: dict[int, tuple[list, list] | None] = {}
 
+    @cached_property
+    def trie(self) -> list:
+        """The piece machine read backwards: a state is [number of the piece that starts here or None, states by character]."""
+        root: list = [None, {}]
+        for name, piece in self.arcs.items():
+            state = root
+            for character in reversed(name):
+                state = state[1].setdefault(character, [None, {}])
+            state[0] = piece
+        return root
+
     @cached_property
     def chunks(self) -> re.Pattern:
         """Cuts a normalised text where no piece reaches across: before marks, and around white space in no piece."""
@@ -202,47 +230,56 @@ class Transducer:
         return tuple(self.bytes[b] for b in character.encode("utf-8"))
 
     def shortest_path(self, text: str) -> tuple[int, ...]:
-        """Piece ids on the shortest path through the lattice of one chunk."""
-        n, arcs, bpe = len(text), self.arcs, self.kind == _BPE
-        pairs, size = self._pairs, len(self.names)
-        cost = [0.0] + [_NEVER] * n
-        last, since = [-1] * (n + 1), [0] * (n + 1)
+        """Piece ids on the shortest path through the lattice of one chunk.
+
+        For every position the arcs that end there are found by walking the piece
+        machine backwards; what is in front of them has its final cost already.
+        """
+        n, bpe, start_state = len(text), self.kind == _BPE, self.trie
+        pairs, size, scores = self._pairs, len(self.names), self.scores
+        cost, last, since = [0.0] * (n + 1), [-1] * (n + 1), [0] * (n + 1)
         for end in range(1, n + 1):
-            for start in range(end - self.longest if end > self.longest else 0, end):
-                piece = arcs.get(text[start:end])
+            state, start = start_state, end
+            best, by, of = _NEVER, -1, end - 1
+            while start:
+                start -= 1
+                state = state[1].get(text[start])
+                if state is None:
+                    break
+                piece = state[0]
                 if piece is None:
-                    if start < end - 1:
-                        continue
-                    piece, weight = -1, 10.0 - self.lowest  # byte fallback, dearer than any piece
-                elif bpe:
-                    passes = pairs.get(last[start] * size + piece)
-                    if not (self.adjacent(last[start], piece) if passes is None else passes):
-                        continue
-                    weight = 0.0
-                else:
-                    weight = -self.scores[piece]
-                if cost[start] + weight < cost[end]:
-                    cost[end], last[end], since[end] = cost[start] + weight, piece, start
-                    if bpe:
-                        break  # no other path to this position is finite
+                    continue
+                if not bpe:
+                    if cost[start] - scores[piece] < best:
+                        best, by, of = cost[start] - scores[piece], piece, start
+                    continue
+                passes = pairs.get(last[start] * size + piece)
+                if self.adjacent(last[start], piece) if passes is None else passes:
+                    best, by, of = cost[start], piece, start
+                    break  # no other path to this position is finite
+            if by < 0 or (not bpe and text[end - 1] not in self.arcs):
+                fallen = cost[end - 1] + 10.0 - self.lowest  # byte fallback, dearer than any piece
+                if fallen < best:
+                    best, by, of = fallen, -1, end - 1
+            cost[end], last[end], since[end] = best, by, of
         found: list[tuple[int, ...]] = []
         while n:
             found.append((last[n],) if last[n] >= 0 else self.fallback(text[since[n] : n]))
             n = since[n]
         return tuple(i for ids in reversed(found) for i in ids)
 
-    def encode(self, text: str) -> list[int]:
-        words, out = self._words, []
+    def encode(self, text: str) -> bytes:
+        """Piece ids as little-endian int32."""
+        words, out = self._words, bytearray()
         for chunk in self.chunks.findall(self.normalised(text)):
-            ids = words.get(chunk)
+            ids = words.recent.get(chunk) or words.again(chunk)
             if ids is None:
-                ids = self.shortest_path(chunk)
+                path = self.shortest_path(chunk)
+                ids = struct.pack(f"<{len(path)}i", *path)
                 if len(chunk) <= 64:
-                    if len(words) >= self.REMEMBERED:
-                        words.clear()
-                    words[chunk] = ids
+                    words.put(chunk, ids)
             out += ids
-        return out
+        return bytes(out)
 
     @cached_property
     def surfaces(self) -> list[bytes]:
@@ -270,9 +307,9 @@ def _encoder(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Transducer(model.value)
         for batch in batches:
-            rows = [np.array(machine.encode(t or ""), dtype=np.int32) for t in texts_of(batch)]
-            offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-            values = np.concatenate(rows) if rows else np.empty(0, dtype=np.int32)
+            rows = [machine.encode(t or "") for t in texts_of(batch)]
+            offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
+            values = np.frombuffer(b"".join(rows), dtype="<i4")
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "piece_ids"])
 
@@ -322,9 +359,9 @@ def _round_trips(model):
             counts, digests, same = [], [], []
             for text in texts_of(batch):
                 ids = machine.encode(text)
-                counts.append(len(ids))
-                digests.append(np.array(ids, dtype="<i4").tobytes())
-                same.append(machine.decode(ids) == machine.plain(text))
+                counts.append(len(ids) // 4)
+                digests.append(ids)
+                same.append(machine.decode(np.frombuffer(ids, dtype="<i4").tolist()) == machine.plain(text))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(same)],
                 ["doc_id", "n_pieces", "ids", "round_trip"],
