@@ -40,7 +40,7 @@ SAMPLE_ROWS = 8_000
 #: Folds of the out-of-fold predictions; documents a word must occur in; most words of a model.
 FOLDS, MIN_DOCUMENTS, MAX_WORDS = 5, 5, 30_000
 #: Gradient steps, ridge penalty per sample.
-STEPS, PENALTY = 60, 3e-4
+STEPS, PENALTY = 100, 1e-4
 #: Log-odds by which a document must exceed a text without a known word to be rejected.
 MARGIN = 0.5
 #: Letters of a prefix that is a feature beside the word; words that a scorer remembers.
@@ -76,15 +76,16 @@ class KnownWords(dict):
 def best_cut(p: np.ndarray, y: np.ndarray) -> float:
     """The threshold with the best F1 on out-of-fold probabilities, midway between its neighbours.
 
+
     0.5 where one class is missing.
     """
     if not 0 < y.sum() < len(y):
         return 0.5
     order = np.argsort(-p, kind="stable")
     p, hits = p[order], np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(p) + 1) + y.sum())
+    f = 2 * hits / (np.arange(1, len(p) + 1) + y.sum())
     ends = np.append(p[1:] < p[:-1], True)  # a cut cannot part equal probabilities
-    at = int(np.argmax(np.where(ends, f1, -1)))
+    at = int(np.argmax(np.where(ends, f, -1)))
     return float((p[at] + p[at + 1]) / 2) if at + 1 < len(p) else float(p[at] / 2)
 
 
@@ -127,7 +128,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, categories: Sequence[Categ
 def fit_logistic(rows: np.ndarray, columns: np.ndarray, extra: np.ndarray, y: np.ndarray, width: int) -> np.ndarray:
     """Ridge logistic regression on 0/1 features given as (row, column) pairs, plus dense columns ``extra``.
 
-    Accelerated gradient steps, scaled per feature by its curvature bound.
+    Accelerated gradient steps, scaled per feature by its curvature bound. Weights
+    of features are not negative: words speak for a category or not at all, so a
+    text never counts as toxic for being short or new.
     Returns weights of the features, then of ``extra``, then the intercept.
     """
     n, dense = len(y), extra.shape[1]
@@ -149,6 +152,7 @@ def fit_logistic(rows: np.ndarray, columns: np.ndarray, extra: np.ndarray, y: np
         ])
         slope[:-1] += PENALTY * ahead[:-1]
         step = ahead - slope * scale
+        step[:width] = np.maximum(step[:width], 0)
         t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
         ahead, w = step + (before - 1) / t * (step - w), step
     return w
@@ -252,7 +256,6 @@ def fit_chain(
     cut = best_cut(judged["p"].to_numpy(dtype=float), judged["y"].to_numpy(dtype=float))
     table = np.array(weights).reshape(len(categories), -1)
     chain = Chain(tuple(c.name for c in categories), index.value, table, links, intercepts, cut)
-    # Clean texts gather small negative weights; a very short one has none to gather and must not count as toxic for it.
     empty = chain.probabilities("", KnownWords(chain.index))[-1]
     least = 1 / (1 + (1 - empty) / empty * np.exp(-MARGIN))
     return chain._replace(threshold=max(cut, float(least)))
