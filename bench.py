@@ -24,6 +24,8 @@ HEADLINE = (
     "value_frequencies_lineitem",
     "null_counts_lineitem",
     "column_profile",
+    "profile_by_target",
+    "transformation_log",
     "schema_inspection",
     "dedup_full",
     "dedup_subset_first",
