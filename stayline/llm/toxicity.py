@@ -44,7 +44,7 @@ STEPS, PENALTY = 100, 1e-4
 #: Log-odds by which a document must exceed a text without a known word to be rejected.
 MARGIN = 0.5
 #: Letters of a prefix that is a feature beside the word; words that a scorer remembers.
-PREFIX, REMEMBERED = 5, 300_000
+PREFIX, REMEMBERED = 5, 150_000
 
 _EDGES = string.punctuation + "¡¿«»“”„’‘…–—"
 
