@@ -177,6 +177,21 @@ def test_near_classes_against_brute_force(documents, monkeypatch, family, tile):
     assert sum(r["kept"] for r in got) == len(members)
 
 
+def test_near_classes_of_texts_that_repeat_a_passage(documents):
+    """Occurrences do not matter for the set Jaccard; weights by count would put these pairs below any estimate."""
+    rows = []
+    for group, times in enumerate((1, 100, 300, 1000)):
+        words = [f"p{group}w{i}" for i in range(120)]
+        line = [f"p{group}l{i}" for i in range(14)]
+        rows += [(10 * group, " ".join(words)), (10 * group + 1, " ".join(words + line * times))]
+    want = brute_classes(rows)
+    assert len(set(want.values())) == 4  # every pair is linked
+    got = near_dedup.near_classes(documents(rows)).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["class_size"]) for r in got) == [
+        (10 * g + i, 10 * g, 2) for g in range(4) for i in range(2)
+    ]
+
+
 def test_one_of_each_class_keeps_columns(documents):
     rows = near_rows()
     docs = documents(rows)
