@@ -46,7 +46,7 @@ def remaining_norms(rows: np.ndarray) -> np.ndarray:
 
 
 class Best:
-    """The k best (score, id) of one query so far; ties go to the smaller id."""
+    """The k best ids of one query so far, each with its best score; ties go to the smaller id."""
 
     def __init__(self, k: int):
         self.k = k
@@ -64,16 +64,15 @@ class Best:
             range(len(ids)), key=lambda i: (-scores[i], ids[i])
         )
         order = np.asarray(order, dtype=np.int64)
-        # A repeated row counts once: of equal (score, id) the first stays.
+        # An id takes one place: of its rows the first, which scores best, stays.
         s, i = scores[order], ids[order]
-        new = np.ones(len(s), dtype=bool)
-        new[1:] = (s[1:] != s[:-1]) | (i[1:] != i[:-1])
-        self.scores, self.ids = s[new][: self.k], i[new][: self.k]
+        first = np.sort(np.unique(i, return_index=True)[1])[: self.k]
+        self.scores, self.ids = s[first], i[first]
 
 
 def search_block(query: np.ndarray, own: int, norms: np.ndarray, columns: np.ndarray, ids: np.ndarray,
-                 rest: np.ndarray, best: Best) -> None:
-    """Update ``best`` with the candidates of one columnar block (dimensions x rows)."""
+                 rest: np.ndarray, distinct: bool, best: Best) -> None:
+    """Update ``best`` with the candidates of one columnar block (dimensions x rows); ``distinct``: no id twice."""
     alive = np.flatnonzero(ids != own)
     partial = np.zeros(len(alive), dtype=np.int64)
     block = columns if len(alive) == len(ids) else columns[:, alive]
@@ -88,7 +87,8 @@ def search_block(query: np.ndarray, own: int, norms: np.ndarray, columns: np.nda
             alive, partial, block = alive[stays], partial[stays], block[:, stays]
             if not len(alive):
                 return
-    if len(partial) > best.k and best.floor == -np.inf:
+    if distinct and len(partial) > best.k and best.floor == -np.inf:
+        # Not where ids repeat: the k best rows may be fewer ids.
         cut = np.partition(partial, len(partial) - best.k)[len(partial) - best.k]
         top = partial >= cut
         partial, alive = partial[top], alive[top]
@@ -127,7 +127,7 @@ def _searcher(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
             np.abs(rows.astype(np.float64)).max(initial=0)
         )
         safe = largest * max(n, 1) < _SAFE
-        columns, rest, norms = None, None, None
+        columns, rest, norms, distinct = None, None, None, len(np.unique(ids)) == len(ids)
         if safe and n:
             columns, rest, norms = np.ascontiguousarray(rows.T), remaining_norms(rows), remaining_norms(own_rows)
         for at in range(len(own_ids)):
@@ -139,7 +139,7 @@ def _searcher(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
             else:
                 if found.scores.dtype == object and len(found.scores):
                     found.scores = found.scores.astype(np.int64)
-                search_block(own_rows[at], int(own_ids[at]), norms[:, at], columns, ids, rest, found)
+                search_block(own_rows[at], int(own_ids[at]), norms[:, at], columns, ids, rest, distinct, found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {n: [] for n in queries}

@@ -306,6 +306,20 @@ def test_top_k_against_brute_force(vectors, rows_of, monkeypatch, block, query_b
     assert got == sorted(brute_top(rows, 10, 7), key=repr)
 
 
+@pytest.mark.parametrize("block", [8192, 64])
+def test_top_k_of_repeated_ids(vectors, rows_of, monkeypatch, block):
+    """Ten copies of the best candidate, and ids that hold several vectors, take one place each."""
+    monkeypatch.setattr(K, "BLOCK_ROWS", block)
+    rng = np.random.default_rng(5)
+    hot = [2.0] * 20
+    rows = [(0, hot), (10, (-np.array(hot)).tolist())]
+    rows += [(1, hot)] * 10 + [(2, (np.array(hot) * 0.9**i).tolist()) for i in range(12)]
+    rows += [(10, rng.normal(size=20).tolist()) for _ in range(3)]
+    rows += [(i, rng.normal(size=20).tolist()) for i in range(3, 300) for _ in range(1 + i % 2)]
+    got = rows_of(K.top_k(vectors(rows).coalesce(1), "vec_id % 10 = 0", 7), "query_id", "rank", "vec_id", "score")
+    assert got == sorted(brute_top(rows, 10, 7), key=repr)
+
+
 def test_top_k_of_huge_components(vectors, rows_of):
     rng = random.Random(2)
     rows = [(i, [rng.choice([1e17, -3e38, 5.0, 2e13]) for _ in range(5)]) for i in range(30)]
