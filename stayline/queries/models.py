@@ -4,10 +4,10 @@ Scores of fitted models have no SQL counterpart, but a right fit must meet some
 totals that do: an unpenalised logistic model on one category gives its class
 shares, k-means on far-apart groups their means, and so on.
 
-The logistic and clustering searches are the full ones. Forests and boosting
-search the trials listed here, with as many trees and rounds as their spaces
-ask for at least; the full lists of 25 trials take hours on one machine and are
-``default_trials`` of the same search.
+The logistic and clustering searches are the full ones, in the whole-run queries
+too. Forests and boosting search the trials listed here, with as many trees and
+rounds as their spaces ask for at least; the full lists of 25 trials take hours on
+one machine and are ``default_trials`` of the same search.
 """
 
 from __future__ import annotations
@@ -39,12 +39,12 @@ FOREST = [
     {"n_estimators": 200, "max_depth": 10, "max_features": "log2", "min_samples_leaf": 4},
 ]
 BOOSTING = [{"max_iter": 200, "max_depth": 3, "learning_rate": 0.05, "min_samples_leaf": 20}]
-#: One trial per model, for the queries about whole runs: what they check does not depend on trees and rounds.
-SINGLE = {
-    "logistic_regression": [{"C": 1.0}],
-    "random_forest": [{"n_estimators": 50, "max_depth": 5, "max_features": "sqrt", "class_weight": "balanced"}],
-    "gradient_boosting": [{"max_iter": 10, "max_depth": 3, "learning_rate": 0.1, "min_samples_leaf": 20}],
-    CLUSTERING: [{"n_clusters": 3}],
+#: What the queries about whole runs search.
+RUN_TRIALS = {
+    "logistic_regression": default_trials("logistic_regression"),
+    "random_forest": FOREST,
+    "gradient_boosting": BOOSTING,
+    CLUSTERING: default_trials(CLUSTERING),
 }
 
 
@@ -154,7 +154,7 @@ _HELD_OUT = "SELECT COUNT(*) AS n FROM held WHERE is_test"
 def train_all(spark, sf_dir):
     """Per model: held-out rows that its run counted, and whether its scores are scores."""
     store = RunStore(spark, scratch_path(spark, "registry"))
-    train_and_register(clean_customers(churn_raw(spark, sf_dir)), store, SINGLE)
+    train_and_register(clean_customers(churn_raw(spark, sf_dir)), store, RUN_TRIALS)
     runs = store.table("runs").select("run_id", "model")
     counts = ["true_negatives", "false_positives", "false_negatives", "true_positives"]
     counted = F.col("metric").isin(*counts) | F.col("metric").rlike("^cluster_[0-9]+$")
@@ -178,7 +178,7 @@ def score_batch(spark, sf_dir):
     cleaned = clean_customers(churn_raw(spark, sf_dir))
     root = scratch_path(spark, "batch")
     store = RunStore(spark, f"{root}/registry")
-    train_and_register(cleaned, store, SINGLE)
+    train_and_register(cleaned, store, RUN_TRIALS)
     batch = split.stratified_split(cleaned).where("is_test").drop("is_test", "churn")
     out = run_batch(store, batch, root, AT, **_SETTINGS).predictions
     p = F.col("churn_probability")
@@ -201,7 +201,7 @@ def score_batch(spark, sf_dir):
 def weekly_summary(spark, sf_dir):
     """A whole weekly run; its customers, risk groups and segments must each add up to the held-out part."""
     root = scratch_path(spark, "weekly")
-    summary = run_weekly(churn_raw(spark, sf_dir), root, SINGLE, AT, settings=_SETTINGS).summary
+    summary = run_weekly(churn_raw(spark, sf_dir), root, RUN_TRIALS, AT, settings=_SETTINGS).summary
     totals = summary.groupBy("metric").agg(F.sum("value").alias("value"))
     return totals.where(F.col("metric").isin("n_customers", "risk_group", "segment"))
 
