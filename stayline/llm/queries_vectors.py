@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayline.llm.registry import query, table
 from stayline.llm.topk_search import top_k
+from stayline.llm.whitening import whitened
 
 
 @query(
@@ -26,3 +27,8 @@ WHERE rank <= 10
 )
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
