@@ -13,10 +13,15 @@ BROADCAST_ROWS = 20_000
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Where that is unset, the session's warehouse folder takes its place, which
-    executors reach as well; no machine-local temporary folder is ever used.
+    Where that is unset, the session's warehouse folder takes its place, if
+    executors reach it: a folder of one machine is refused unless the master is
+    local. No machine-local temporary folder is ever used.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        if root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {root} is on one machine")
     return f"{root.rstrip('/')}/stayline/{label}-{uuid.uuid4().hex}"
 
 

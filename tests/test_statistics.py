@@ -14,15 +14,50 @@ from stayline.operators import clusters, explore, metrics, split
 from stayline.session import lookup, scratch_path
 
 
-@pytest.fixture
-def small_brackets(monkeypatch):
-    """Make small tables take the bracketed path of large ones."""
-    monkeypatch.setattr(quantiles, "ACCURACY", 500)
-    monkeypatch.setattr(quantiles, "SMALL_GROUP", 1000)
+#: Doubles at every kind of edge: zeros, subnormals, neighbours of powers of two, the ends.
+EDGES = [0.0, -0.0, 5e-324, 2.0**-1074 * 7, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, float("inf")]
+EDGES += [float(np.nextafter(2.0**e, to)) for e in range(-1021, 1024, 31) for to in (0.0, np.inf)] + [2.0**e for e in range(-1074, 1024, 53)]
+
+
+def test_ordered_keys_are_the_bits_of_the_double(spark):
+    random_bits = np.random.default_rng(8).integers(0, 2047 << 52, 3_000).astype(np.int64).view(np.float64)
+    values = [v for e in [*EDGES, *random_bits.tolist()] for v in (e, -e)]
+    rows = quantiles.with_ordered_key(spark.createDataFrame([(v,) for v in values], "x double"), "x", "k").collect()
+    for r in rows:
+        bits = int(np.float64(abs(r.x)).view(np.int64))
+        assert r.k == (-bits if r.x < 0 else bits)
+
+
+def test_quantiles_at_the_edges_of_doubles(spark):
+    values = sorted(v for e in EDGES if np.isfinite(e) for v in (e, -e))
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
+    probabilities = [i / (len(values) - 1) for i in range(0, len(values), 9)]
+    found = quantiles.ranked_values(quantiles.numeric_long(df, ["x"]), ["column"], probabilities).collect()
+    assert len(found) >= len(probabilities) and all(r.value == values[r.rank] for r in found)
+
+
+def test_a_million_values_shuffle_histograms_only(spark):
+    """Whatever the values, what leaves the map side is counts of digits: no task sees the rows."""
+    n, tasks = 1_000_000, 8
+    df = spark.range(0, n, 1, tasks).select((F.xxhash64("id") / 1e3).alias("x"), (F.rand(3) * 1e-3).alias("y"))
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("quantiles", "quantiles")
+    found = quantiles.quantile_values(df, ["x", "y"], [0.1, 0.5])
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    frame = df.toPandas()
+    for column in ("x", "y"):
+        assert found[column] == pytest.approx(list(frame[column].quantile([0.1, 0.5])), rel=1e-12)
+    assert status.getJobIdsForGroup("quantiles")
+    rows = quantiles.with_ordered_key(quantiles.numeric_long(df, ["x", "y"]), "value", "key")
+    first = quantiles._histogram(rows.withColumn("digit", F.shiftright("key", 48)), ["column"])
+    sizes = {r["column"]: r["s"] for r in first.select("column", F.size("entries").alias("s")).collect()}
+    assert all(s <= 2**quantiles.DIGIT_BITS for s in sizes.values()) and sum(sizes.values()) < n / 100
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_count" in plan
 
 
 @pytest.mark.parametrize("shape", ["normal", "hot", "heavy_tail", "two_values", "constant"])
-def test_bracketed_quantiles_equal_brute_force(spark, small_brackets, shape):
+def test_quantiles_equal_brute_force(spark, shape):
     rng = np.random.default_rng(5)
     n = 30_000
     data = {
@@ -38,7 +73,7 @@ def test_bracketed_quantiles_equal_brute_force(spark, small_brackets, shape):
     assert found == pytest.approx(list(np.quantile(data, probabilities)), rel=1e-12)
 
 
-def test_grouped_quantiles_with_a_hot_group(spark, small_brackets):
+def test_grouped_quantiles_with_a_hot_group(spark):
     rng = np.random.default_rng(9)
     frame = pd.DataFrame({"g": rng.choice(["hot", "a", "b", None], 20_000, p=[0.7, 0.2, 0.09, 0.01]), "x": rng.exponential(size=20_000)})
     frame.loc[::50, "x"] = np.nan
@@ -106,10 +141,20 @@ def test_scratch_follows_the_session_setting():
     assert scratch_path(shared, "x") != scratch_path(shared, "x")
 
 
-def test_scratch_falls_back_to_the_warehouse(spark):
-    first, second = scratch_path(spark, "x"), scratch_path(spark, "y")
-    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
-    assert "/stayline/x-" in first and first.startswith(spark.conf.get("spark.sql.warehouse.dir").rstrip("/")), first
+def test_scratch_falls_back_to_the_warehouse():
+    """Whatever the session that runs the tests has set: only these settings count."""
+    local, cluster = FakeSession("local[4]"), FakeSession("yarn")
+    for session, warehouse in ((local, "file:/here/spark-warehouse"), (cluster, "hdfs://shared/warehouse/")):
+        session.conf["spark.sql.warehouse.dir"] = warehouse
+        first, second = scratch_path(session, "x"), scratch_path(session, "y")
+        assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0] == f"{warehouse.rstrip('/')}/stayline"
+
+
+def test_scratch_refuses_a_folder_of_one_machine_on_a_cluster():
+    session = FakeSession("spark://master:7077")
+    session.conf["spark.sql.warehouse.dir"] = "file:/here/spark-warehouse"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session, "x")
 
 
 # -- splits --------------------------------------------------------------------
