@@ -43,7 +43,7 @@ def train_and_register(
     store: RunStore,
     models: Mapping[str, Sequence[Mapping]],
     folds: int = schema.FOLDS,
-    parallelism: int = 4,
+    parallelism: int = 8,
     spaces: Mapping[str, Sequence[Mapping]] | None = None,
 ) -> dict[str, tuple[int, bool]]:
     """Search every model on the training part, log the runs, and contest the champions.
@@ -73,7 +73,7 @@ def run_weekly(
     models: Mapping[str, Sequence[Mapping]],
     at: datetime,
     folds: int = schema.FOLDS,
-    parallelism: int = 4,
+    parallelism: int = 8,
     with_csv: bool = False,
     settings: Mapping | None = None,
 ) -> WeeklyResult:

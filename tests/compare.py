@@ -19,6 +19,7 @@ def session(cores: str = "8") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("stayline")
         .config("spark.ui.enabled", "false")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
