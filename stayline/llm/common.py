@@ -1,16 +1,15 @@
 """What the training-data operators share: columns, text batches, sized broadcasts.
 
 Row identity. ``doc_id`` may be null or repeat, so a row is told apart by the
-pair (``row_doc``, ``row_tag``): the id with null as the smallest long, and 31
-bits of the CRC-32 of the UTF-8 text. Rows that agree in id and text get the same results.
+pair (``row_doc``, ``row_tag``): the id and 64 bits of a hash of its text. In
+place of a null id stand 62 bits of another hash, below all ids from -2^62 on, so
+126 bits tell rows without an id apart. Rows that agree in id and text get the same results.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -26,26 +25,21 @@ def text_of(column: str = "text") -> Column:
 
 
 def row_doc() -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    """The id; for null a number of the text in [-2^63, -2^62)."""
+    unnamed = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(text_of().cast("binary")), 2)
+    return F.coalesce(F.col("doc_id").cast("long"), unnamed)
 
 
 def row_tag() -> Column:
-    return F.shiftright(F.crc32(text_of().cast("binary")), 1)
-
-
-def tag_of(text: bytes) -> int:
-    """:func:`row_tag` of a text inside a task."""
-    return zlib.crc32(text) >> 1
+    return F.xxhash64(F.lit(1), text_of().cast("binary"))
 
 
 def id_and_text(docs: DataFrame) -> DataFrame:
-    """The two columns that the Python stages read: ``doc_id`` (long, nullable) and ``text`` (UTF-8 bytes)."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().cast("binary").alias("text"))
-
-
-def ids(batch: pa.RecordBatch, column: str = "doc_id") -> np.ndarray:
-    """A nullable id column as int64, null as :data:`NO_ID`."""
-    return batch.column(column).fill_null(NO_ID).to_numpy(zero_copy_only=False)
+    """What the Python stages read: ``doc_id`` (long, nullable), ``doc``, ``tag``, ``text`` (UTF-8 bytes)."""
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), row_doc().alias("doc"), row_tag().alias("tag"),
+        text_of().cast("binary").alias("text"),
+    )
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> Iterator:

@@ -17,8 +17,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from stayline.llm.common import id_and_text, ids, row_doc, row_tag, tag_of, text_of, texts_of
-from stayline.llm.runs import KEYED, places_by_document, repeated_rows
+from stayline.llm.common import id_and_text, row_doc, row_tag, text_of, texts_of
+from stayline.llm.runs import KEYED, KEYED_SQL, places_by_document, repeated_rows
 
 #: ASCII white space: space and the five controls 9 to 13.
 SPACE = b" \t\n\v\f\r"
@@ -30,17 +30,18 @@ def line_keys(text: bytes) -> list[bytes]:
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hashes, docs, places = bytearray(), [], []
-        for doc, text in zip(ids(batch).tolist(), texts_of(batch)):
-            tag = tag_of(text) << 32
+        hashes, counts, places = bytearray(), [], []
+        for text in texts_of(batch):
+            before = len(places)
             for position, key in enumerate(line_keys(text)):
                 if key:
                     hashes += xxhash.xxh3_128_digest(key)
-                    docs.append(doc)
-                    places.append(tag | position)
+                    places.append(position)
+            counts.append(len(places) - before)
         pairs = np.frombuffer(bytes(hashes), dtype="<i8").reshape(-1, 2)
+        doc, tag = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), counts) for c in ("doc", "tag"))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(docs, pa.int64()), pa.array(places, pa.int64())],
+            [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(doc), pa.array(tag), pa.array(places, pa.int64())],
             schema=KEYED,
         )
 
@@ -69,9 +70,10 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 2, keep_first: bool = True) ->
     with the smallest id stay. ``keep`` is a zlib-compressed bitmap, one bit per
     line. One row per distinct (``doc_id``, text); such a pair is one document
     however often its row is repeated. A null or empty text is one empty line,
-    which is never dropped; null ids order first. An empty table gives no rows.
+    which is never dropped; null ids order first, among them by a hash of the text.
+    An empty table gives no rows.
     """
-    keyed = id_and_text(docs).mapInArrow(_hashed, "k1 long, k2 long, doc long, at long")
+    keyed = id_and_text(docs).mapInArrow(_hashed, KEYED_SQL)
     dropped = places_by_document(repeated_rows(keyed, "line-runs", min_docs, keep_first))
     text = text_of()
     documents = docs.select(

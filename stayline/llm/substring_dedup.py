@@ -16,8 +16,8 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from stayline.llm.common import NO_ID, id_and_text, ids, row_doc, row_tag, tag_of, text_of, texts_of
-from stayline.llm.runs import KEYED, places_by_document, repeated_rows
+from stayline.llm.common import id_and_text, row_doc, row_tag, text_of, texts_of
+from stayline.llm.runs import KEYED, KEYED_SQL, places_by_document, repeated_rows
 from stayline.session import staged
 
 #: Words of a window.
@@ -121,8 +121,8 @@ def _partial_sketches(window: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, held, n = Windows(window), [], 0
         for batch in batches:
-            for doc, text in zip(ids(batch), texts_of(batch)):
-                if doc != NO_ID and (keys := windows.keys(text)):
+            for named, text in zip(batch.column("doc_id").is_valid().to_pylist(), texts_of(batch)):
+                if named and (keys := windows.keys(text)):
                     held.append(keys)
                     n += len(keys[0])
                     if n >= FLUSH:
@@ -183,9 +183,11 @@ def _candidates(window: int, bits: int, sketch):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, table = Windows(window), np.frombuffer(sketch.value, dtype=np.uint8)
         for batch in batches:
-            found: list[list[np.ndarray]] = [[], [], [], []]
-            for doc, text in zip(ids(batch), texts_of(batch)):
-                if doc == NO_ID or not (keys := windows.keys(text)):
+            found: list[list[np.ndarray]] = [[], [], [], [], []]
+            named = batch.column("doc_id").is_valid().to_pylist()
+            docs, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "tag"))
+            for known, doc, tag, text in zip(named, docs, tags, texts_of(batch)):
+                if not known or not (keys := windows.keys(text)):
                     continue
                 at = np.arange(len(keys[0]))
                 for row in range(DEPTH):
@@ -193,7 +195,7 @@ def _candidates(window: int, bits: int, sketch):
                     at = at[(table[cells >> np.uint64(3)] >> (7 - (cells & np.uint64(7))).astype(np.uint8)) & 1 == 1]
                 if len(at):
                     columns = (keys[0][at].view(np.int64), keys[1][at].view(np.int64), np.full(len(at), doc),
-                               at + (tag_of(text) << 32))
+                               np.full(len(at), tag), at)
                     for column, values in zip(found, columns):
                         column.append(values)
             if found[0]:
@@ -222,7 +224,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     letters = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     bits = sketch_bits(letters // 6)
     sketch = docs.sparkSession.sparkContext.broadcast(repeated_cells(texts, window, bits).tobytes())
-    keyed = texts.mapInArrow(_candidates(window, bits, sketch), "k1 long, k2 long, doc long, at long")
+    keyed = texts.mapInArrow(_candidates(window, bits, sketch), KEYED_SQL)
     return places_by_document(repeated_rows(keyed, "window-runs", min_docs=2, keep_first=True))
 
 

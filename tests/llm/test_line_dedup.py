@@ -4,16 +4,16 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from stayline.llm.line_dedup import drop_repeated_lines, keep_bitmaps, kept_lines, line_keys
 from stayline.llm.runs import repeated_rows
-from stayline.llm.common import tag_of
 
 
 def brute(rows, min_docs, keep_first):
     """{(doc_id, text): kept lines} over distinct rows; null ids order first."""
     where = defaultdict(set)
-    distinct = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, tag_of((r[1] or "").encode())))
+    distinct = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     for row in distinct:
         for key in line_keys((row[1] or "").encode()):
             if key:
@@ -81,7 +81,7 @@ def test_a_hot_key_spans_partitions(spark, keep_first):
     """One key holds most rows: runs are cut by partitions, yet every row is judged by the whole."""
     hot = [(5, 5, doc, position) for doc in range(3000) for position in (0, 1)]
     rare = [(k, 1, k, 0) for k in range(-500, 500)] + [(9, 9, 1, 0), (9, 9, 2, 0)]
-    keyed = spark.createDataFrame(hot + rare, "k1 long, k2 long, doc long, at long").repartition(5)
+    keyed = spark.createDataFrame(hot + rare, "k1 long, k2 long, doc long, at long").withColumn("tag", F.col("doc") % 7).repartition(5)
     got = {(r["doc"], r["at"]) for r in repeated_rows(keyed, "test", 2, keep_first).collect()}
     want = {(d, p) for _, _, d, p in hot if not keep_first or d != 0} | ({(2, 0)} if keep_first else {(1, 0), (2, 0)})
     assert got == want
@@ -91,7 +91,7 @@ def test_a_hot_key_spans_partitions(spark, keep_first):
 
 def test_first_documents_connect_a_hot_key(spark):
     hot = [(5, 5, doc, 0) for doc in range(3000)]
-    keyed = spark.createDataFrame(hot, "k1 long, k2 long, doc long, at long").repartition(5)
+    keyed = spark.createDataFrame(hot, "k1 long, k2 long, doc long, at long").withColumn("tag", F.col("doc") % 7).repartition(5)
     rows = repeated_rows(keyed, "test", 2, with_first=True).collect()
     assert {r["doc"] for r in rows} == set(range(3000))
     firsts = {r["doc"]: r["first_doc"] for r in rows if r["first_doc"] != r["doc"]}
