@@ -5,9 +5,9 @@ totals that do: an unpenalised logistic model on one category gives its class
 shares, k-means on far-apart groups their means, and so on.
 
 The logistic and clustering searches are the full ones, in the whole-run queries
-too. Forests and boosting search the trials listed here, with as many trees and
-rounds as their spaces ask for at least; the full lists of 25 trials take hours on
-one machine and are ``default_trials`` of the same search.
+too. Forests and boosting are not: they search the two and one trials listed here, with
+as many trees and rounds as their spaces ask for at least. The full lists of 25 trials
+are ``default_trials`` of the same search.
 """
 
 from __future__ import annotations
