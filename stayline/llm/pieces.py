@@ -328,9 +328,21 @@ def _decoder(model):
     return run
 
 
-def _mapped(rows: DataFrame, run, name: str, kind: T.DataType) -> DataFrame:
-    kept = rows.drop(name)
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(name, kind)]))
+def _both(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, decode = _encoder(model), _decoder(model)
+        yield from decode(encode(batches))
+
+    return run
+
+
+def _mapped(rows: DataFrame, run, *added: T.StructField) -> DataFrame:
+    kept = rows.drop(*[f.name for f in added])
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *added]))
+
+
+_IDS = T.StructField("piece_ids", T.ArrayType(T.IntegerType()))
+_DECODED = T.StructField("decoded", T.StringType())
 
 
 def _shared(spark: SparkSession, path: str):
@@ -344,12 +356,17 @@ def encoded(docs: DataFrame, path: str = MODEL) -> DataFrame:
     A null or empty text has no pieces. Whole texts are encoded, each row alone,
     without a shuffle.
     """
-    return _mapped(docs, _encoder(_shared(docs.sparkSession, path)), "piece_ids", T.ArrayType(T.IntegerType()))
+    return _mapped(docs, _encoder(_shared(docs.sparkSession, path)), _IDS)
 
 
 def decoded(rows: DataFrame, path: str = MODEL) -> DataFrame:
     """``rows`` with ``decoded``, the text of ``piece_ids``; null ids give null, ids outside the model an error."""
-    return _mapped(rows, _decoder(_shared(rows.sparkSession, path)), "decoded", T.StringType())
+    return _mapped(rows, _decoder(_shared(rows.sparkSession, path)), _DECODED)
+
+
+def coded(docs: DataFrame, path: str = MODEL) -> DataFrame:
+    """:func:`encoded` and then :func:`decoded` in one pass; columns of their names are replaced."""
+    return _mapped(docs, _both(_shared(docs.sparkSession, path)), _IDS, _DECODED)
 
 
 def _round_trips(model):

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from stayline.session import staged
+from stayline.session import scratch_path, staged
 
 #: A component x counts as floor(SCALE * x).
 SCALE = 1024
@@ -46,7 +46,7 @@ def remaining_norms(rows: np.ndarray) -> np.ndarray:
 
 
 class Best:
-    """The k best ids of one query so far, each with its best score; ties go to the smaller id."""
+    """The k best rows of one query so far; ties go to the smaller id."""
 
     def __init__(self, k: int):
         self.k = k
@@ -63,16 +63,13 @@ class Best:
         order = np.lexsort((ids, -scores)) if scores.dtype != object else sorted(
             range(len(ids)), key=lambda i: (-scores[i], ids[i])
         )
-        order = np.asarray(order, dtype=np.int64)
-        # An id takes one place: of its rows the first, which scores best, stays.
-        s, i = scores[order], ids[order]
-        first = np.sort(np.unique(i, return_index=True)[1])[: self.k]
-        self.scores, self.ids = s[first], i[first]
+        order = np.asarray(order, dtype=np.int64)[: self.k]
+        self.scores, self.ids = scores[order], ids[order]
 
 
 def search_block(query: np.ndarray, own: int, norms: np.ndarray, columns: np.ndarray, ids: np.ndarray,
-                 rest: np.ndarray, distinct: bool, best: Best) -> None:
-    """Update ``best`` with the candidates of one columnar block (dimensions x rows); ``distinct``: no id twice."""
+                 rest: np.ndarray, best: Best) -> None:
+    """Update ``best`` with the candidates of one columnar block (dimensions x rows)."""
     alive = np.flatnonzero(ids != own)
     partial = np.zeros(len(alive), dtype=np.int64)
     block = columns if len(alive) == len(ids) else columns[:, alive]
@@ -87,8 +84,7 @@ def search_block(query: np.ndarray, own: int, norms: np.ndarray, columns: np.nda
             alive, partial, block = alive[stays], partial[stays], block[:, stays]
             if not len(alive):
                 return
-    if distinct and len(partial) > best.k and best.floor == -np.inf:
-        # Not where ids repeat: the k best rows may be fewer ids.
+    if len(partial) > best.k and best.floor == -np.inf:
         cut = np.partition(partial, len(partial) - best.k)[len(partial) - best.k]
         top = partial >= cut
         partial, alive = partial[top], alive[top]
@@ -117,17 +113,19 @@ def _matrix(vectors: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     }
 
 
-def _searcher(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
+def _searcher(queries: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], k: int):
+    """``queries`` by dimension: ids, vectors and how many rows of the table each stands for."""
+
     def search(held: dict[int, list], best: dict, n: int) -> None:
         ids = np.concatenate([i for i, _ in held[n]])
         rows = np.concatenate([r for _, r in held[n]])
         held[n] = []
-        own_ids, own_rows = queries[n]
+        own_ids, own_rows, _ = queries[n]
         largest = float(np.abs(own_rows.astype(np.float64)).max(initial=0)) * float(
             np.abs(rows.astype(np.float64)).max(initial=0)
         )
         safe = largest * max(n, 1) < _SAFE
-        columns, rest, norms, distinct = None, None, None, len(np.unique(ids)) == len(ids)
+        columns, rest, norms = None, None, None
         if safe and n:
             columns, rest, norms = np.ascontiguousarray(rows.T), remaining_norms(rows), remaining_norms(own_rows)
         for at in range(len(own_ids)):
@@ -139,7 +137,7 @@ def _searcher(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
             else:
                 if found.scores.dtype == object and len(found.scores):
                     found.scores = found.scores.astype(np.int64)
-                search_block(own_rows[at], int(own_ids[at]), norms[:, at], columns, ids, rest, distinct, found)
+                search_block(own_rows[at], int(own_ids[at]), norms[:, at], columns, ids, rest, found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {n: [] for n in queries}
@@ -156,7 +154,7 @@ def _searcher(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
         for n in held:
             if held[n]:
                 search(held, best, n)
-        for n, (own_ids, _) in queries.items():
+        for n, (own_ids, _, copies) in queries.items():
             for at, own in enumerate(own_ids.tolist()):
                 if (found := best.get((n, at))) and len(found.ids):
                     yield pa.RecordBatch.from_arrays(
@@ -164,8 +162,9 @@ def _searcher(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
                             pa.array(np.full(len(found.ids), own)),
                             pa.array(found.ids),
                             pa.array([int(s) for s in found.scores], pa.int64()),
+                            pa.array(np.full(len(found.ids), copies[at])),
                         ],
-                        ["query_id", "vec_id", "score"],
+                        ["query_id", "vec_id", "score", "copies"],
                     )
 
     return run
@@ -177,31 +176,36 @@ def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
     ``vectors`` is (vec_id, embedding), ``is_query`` a condition on ``vec_id``.
     Every row but those with the query's own id is a candidate; only vectors of
     the same dimension are compared (of dimension 0 all score 0). Ties go to the
-    smaller id. Repeated rows count once; of rows that share an id but not the
-    vector, the better score counts. Scores beyond a long are held at its ends.
+    smaller id. Rows take places, not ids: repeated rows take one place each, and
+    where several rows hold a query's id, each asks for itself and the k best of
+    all their answers count. Scores beyond a long are held at its ends.
 
     The query set is stated, so all queries meet all candidates, but in blocks:
     queries are taken in turns of at most :data:`QUERY_BYTES`, each broadcast to
-    tasks that stream their own candidates and return k rows per query.
+    tasks that stream their own candidates and return k rows per query. A turn's
+    answers are written before the next turn starts, so neither the driver nor the
+    plan holds more than one turn. Equal query rows are asked once.
     """
     table = staged(whole_vectors(vectors), "vectors")
     spark = table.sparkSession
-    asked = table.where(is_query).distinct()
-    width = asked.agg(F.coalesce(F.sum(F.size("v") * 8 + 16), F.lit(0)).alias("b")).first()["b"]
+    asked = table.where(is_query).groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("n"))
+    # More than k equal query rows fill the k places just as k do.
+    asked = asked.select("vec_id", "v", F.least("n", F.lit(k)).alias("copies"))
+    width = asked.agg(F.coalesce(F.sum(F.size("v") * 8 + 24), F.lit(0)).alias("b")).first()["b"]
     turns = max(1, -(-int(width) // QUERY_BYTES))
-    asked = staged(asked.withColumn("turn", F.pmod(F.xxhash64("vec_id"), F.lit(turns))), "queries")
-    found = None
+    asked = staged(asked.withColumn("turn", F.pmod(F.xxhash64("vec_id", "v"), F.lit(turns))), "queries")
+    path, kind = scratch_path(spark, "answers"), "query_id long, vec_id long, score long, copies long"
+    spark.createDataFrame([], kind).write.parquet(path)
     for turn in range(turns):
-        batch = asked.where(F.col("turn") == turn).select("vec_id", "v").toArrow()
+        batch = asked.where(F.col("turn") == turn).select("vec_id", "v", "copies").toArrow()
         if not batch.num_rows:
             continue
-        ids = batch.column("vec_id").to_numpy()
-        queries = {n: (ids[at], rows) for n, (at, rows) in _matrix(batch.column("v").combine_chunks()).items()}
-        part = table.mapInArrow(_searcher(queries, k), "query_id long, vec_id long, score long")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    unique = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        ids, copies = (batch.column(c).to_numpy() for c in ("vec_id", "copies"))
+        by_size = _matrix(batch.column("v").combine_chunks())
+        queries = {n: (ids[at], rows, copies[at]) for n, (at, rows) in by_size.items()}
+        table.mapInArrow(_searcher(queries, k), kind).write.mode("append").parquet(path)
+    found = spark.read.schema(kind).parquet(path)
+    every = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     order = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    ranked = unique.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 
+import stayline.llm as llm
 from stayline.llm import pieces as P
 from stayline.llm import topk_search as K
 from stayline.llm import toxicity as T
@@ -276,14 +277,13 @@ def brute_top(rows, every, k):
             whole.setdefault((i, len(v)), []).append([min(2**63 - 1, max(-(2**63), math.floor(1024 * float(np.float32(x))))) for x in v])
     out = []
     for q in sorted({i for i, _ in whole if i % every == 0}):
-        best = {}
+        found = []
         for n in {n for i, n in whole if i == q}:
             for (i, m), vectors in whole.items():
                 for c in vectors if m == n and i != q else []:
                     for own in whole[q, n]:
-                        score = min(2**63 - 1, max(-(2**63), sum(a * b for a, b in zip(own, c))))
-                        best[i] = max(best.get(i, score), score)
-        ranked = sorted(best.items(), key=lambda b: (-b[1], b[0]))[:k]
+                        found.append((i, min(2**63 - 1, max(-(2**63), sum(a * b for a, b in zip(own, c))))))
+        ranked = sorted(found, key=lambda b: (-b[1], b[0]))[:k]
         out += [(q, r + 1, i, s) for r, (i, s) in enumerate(ranked)]
     return out
 
@@ -308,18 +308,30 @@ def test_top_k_against_brute_force(vectors, rows_of, monkeypatch, block, query_b
 
 @pytest.mark.parametrize("block", [8192, 64])
 def test_top_k_of_repeated_ids(vectors, rows_of, monkeypatch, block):
-    """Ten copies of the best candidate, and ids that hold several vectors, take one place each."""
+    """Ten copies of the best candidate, ids that hold several vectors, and repeated query rows: rows take places."""
     monkeypatch.setattr(K, "BLOCK_ROWS", block)
     rng = np.random.default_rng(5)
     hot = [2.0] * 20
     rows = [(0, hot), (10, (-np.array(hot)).tolist())]
     rows += [(1, hot)] * 10 + [(2, (np.array(hot) * 0.9**i).tolist()) for i in range(12)]
-    rows += [(10, rng.normal(size=20).tolist()) for _ in range(3)]
+    rows += [(10, rng.normal(size=20).tolist()) for _ in range(3)] + [(20, hot)] * 9 + [(30, [-1.0] * 20)] * 3
     rows += [(i, rng.normal(size=20).tolist()) for i in range(3, 300) for _ in range(1 + i % 2)]
     got = rows_of(K.top_k(vectors(rows).coalesce(1), "vec_id % 10 = 0", 7), "query_id", "rank", "vec_id", "score")
     assert got == sorted(brute_top(rows, 10, 7), key=repr)
 
 
+def test_top_k_of_repeated_ids_as_in_sql(vectors, rows_of, tmp_path):
+    rng = np.random.default_rng(8)
+    rows = [(i % 150, rng.normal(size=8).round(1).tolist()) for i in range(400)]
+    rows += rows[:40] + [(100, [1.0] * 8)] * 12 + [(7, [3.0] * 8)] * 12
+    vectors(rows).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = con.execute(llm.ORACLES["op10_top_k"]).fetchall()
+    got = rows_of(K.top_k(vectors(rows), "vec_id % 100 = 0", 10), "query_id", "rank", "vec_id", "score")
+    assert got == sorted(want, key=repr)
+
+
 def test_top_k_of_huge_components(vectors, rows_of):
     rng = random.Random(2)
     rows = [(i, [rng.choice([1e17, -3e38, 5.0, 2e13]) for _ in range(5)]) for i in range(30)]

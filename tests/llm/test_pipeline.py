@@ -36,7 +36,7 @@ def test_order_and_columns(stages):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "mixing", "pieces"]
     for name, _ in corpus_pipeline.STAGES[:-1]:
         assert stages[name].columns == COLUMNS
-    assert stages["pieces"].columns == [*COLUMNS, "piece_ids"]
+    assert stages["pieces"].columns == [*COLUMNS, "piece_ids", "decoded"]
 
 
 def test_toxicity_only_drops(stages, spark):
@@ -80,6 +80,7 @@ def test_pieces(stages):
     rows = stages["pieces"].collect()
     assert sorted((r["doc_id"], r["text"]) for r in rows) == sorted(pairs(stages["mixing"]))
     assert all(r["piece_ids"] == library.encode(r["text"]) for r in rows)
+    assert all(r["decoded"] == library.decode(r["piece_ids"]) for r in rows)
 
 
 def test_run_gives_the_last_stage(spark, stages):
