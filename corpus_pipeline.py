@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stayline.llm.line_dedup import drop_repeated_lines
 from stayline.llm.mixing import mixed
 from stayline.llm.near_dedup import one_of_each_class
-from stayline.llm.pieces import encoded
+from stayline.llm.pieces import coded
 from stayline.llm.registry import let_workers_import, table
 from stayline.llm.toxicity import without_toxic
 from stayline.session import staged
@@ -44,9 +44,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with ``piece_ids``, their encoding."""
+    """Documents with ``piece_ids``, their encoding, and ``decoded``, what those turn back into."""
     let_workers_import(spark)
-    return encoded(docs)
+    return coded(docs)
 
 
 STAGES = [
