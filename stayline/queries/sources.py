@@ -24,7 +24,7 @@ from stayline.queries.registry import (
 )
 from stayline.queries.scoring import COMPARED, comparison_sql
 from stayline.session import scratch_path
-from stayline.sources import fingerprint, readers, writers
+from stayline.sources import fingerprint, inference, readers, writers
 
 
 @query("raw_csv_scan", raw_sql("SELECT * FROM churn_raw"))
@@ -35,6 +35,47 @@ def raw_csv_scan(spark, sf_dir):
     return readers.read_raw_csv(spark, path)
 
 
+@query(
+    "raw_csv_inferred",
+    raw_sql(
+        "SELECT * REPLACE (CAST(SeniorCitizen AS BIGINT) AS SeniorCitizen, CAST(tenure AS BIGINT) AS tenure) FROM churn_raw"
+    ),
+)
+def raw_csv_inferred(spark, sf_dir):
+    path = scratch_path(spark, "raw-csv")
+    writer = churn_raw(spark, sf_dir).write.option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return inference.read_inferred_csv(spark, path).rows
+
+
+@query(
+    "raw_csv_rejected",
+    raw_sql(
+        """SELECT customerID AS customer_id, reason, COUNT(*) AS lines FROM (
+          SELECT customerID, CASE WHEN customerID LIKE '%07' OR customerID LIKE '%13' THEN 'fields'
+            WHEN TotalCharges = ' ' THEN 'TotalCharges' ELSE 'none' END AS reason FROM churn_raw) r
+        GROUP BY customerID, reason"""
+    ),
+)
+def raw_csv_rejected(spark, sf_dir):
+    """Every line of an extract with planted bad lines: one field too many (…07), eighteen too few (…13), blank totals."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW_COLUMNS]
+    whole, key = F.concat_ws(",", *fields), F.col("customerID")
+    line = F.when(key.endswith("07"), F.concat(whole, F.lit(",extra")))
+    line = line.when(key.endswith("13"), F.concat_ws(",", *fields[:3])).otherwise(whole)
+    path = scratch_path(spark, "bad-lines")
+    # One column under the whole header, with a separator that no line holds: lines are written as they are.
+    writer = churn_raw(spark, sf_dir).select(line.alias(",".join(RAW_COLUMNS))).write
+    writer = writer.option("header", True).option("sep", "\x01")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    extract = inference.read_inferred_csv(spark, path, tolerance=0.05)
+    rejected = extract.rejected.select(
+        F.col("fields.customerID").alias("customer_id"), F.array_join("reasons", ",").alias("reason")
+    )
+    fine = extract.rows.select(F.col("customerID").alias("customer_id"), F.lit("none").alias("reason"))
+    return rejected.unionByName(fine).groupBy("customer_id", "reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
 _BATCH = ", ".join(c for c in RAW_NAMES.values() if c != "churn")
 
 
