@@ -126,9 +126,10 @@ def enrich(
 ) -> DataFrame:
     """Attach each scored customer's cleaned row; source columns come first.
 
-    Every scored row is kept. The target is renamed ``churn_actual`` so that it
-    cannot be mistaken for the predicted label. The join side to broadcast, if
-    any, is left to Spark, since either table may be the large one.
+    Every scored row is kept. ``churn_actual`` holds the source's target. An ordinal
+    among the scored columns passes through, to restore the batch's order at the sink
+    (``functions/ordinal.py``). The join side to broadcast, if any, is left to Spark,
+    since either table may be the large one.
     """
     if source is None:
         return predictions

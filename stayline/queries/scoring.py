@@ -7,10 +7,12 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from stayline.fixtures import churn_raw, runs, scored, table
+from stayline.functions import ordinal
 from stayline.functions.numeric import round_to
 from stayline.operators import champions, compare, quality, scoring, services
 from stayline.plans.cleaning import typed
 from stayline.queries.registry import RUNS, SCORED, query, rounded, rounded_columns, typed_sql
+from stayline.session import scratch_path
 
 AT = datetime(2024, 1, 1, 9, 0, 0)
 BATCH = "20240101T090000"
@@ -140,6 +142,27 @@ def enrich_predictions(spark, sf_dir):
     return scoring.enrich(scored(spark, sf_dir), _source(spark, sf_dir))
 
 
+@query(
+    "enriched_in_order",
+    typed_sql(
+        """SELECT s.* EXCLUDE (customer_id, churn), p.customer_id, s.churn AS churn_actual, p.* EXCLUDE (customer_id)
+        FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY churn_probability DESC, customer_id) - 1 AS ordinal FROM scored) p
+        LEFT JOIN source s ON s.customer_id = p.customer_id""",
+        SCORED,
+        _UNIQUE,
+        _SOURCE,
+    ),
+)
+def enriched_in_order(spark, sf_dir):
+    """A batch in order of its scores, enriched, written and read back: the order of the batch."""
+    batch, sink = scratch_path(spark, "ordered-batch"), scratch_path(spark, "ordered-sink")
+    ranked = ordinal.with_ordinal(scored(spark, sf_dir), [F.col("churn_probability").desc(), "customer_id"])
+    ordinal.write_in_order(ranked, batch)
+    rows = ordinal.read_in_order(spark, batch)
+    ordinal.write_in_order(scoring.enrich(rows, _source(spark, sf_dir)), sink)
+    return ordinal.read_in_order(spark, sink)
+
+
 @query(
     "unmatched_customers",
     typed_sql(
