@@ -320,7 +320,12 @@ def _decoder(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Transducer(model.value)
         for batch in batches:
-            texts = [machine.decode(i) if i is not None else None for i in batch.column("piece_ids").to_pylist()]
+            ids = batch.column("piece_ids")
+            # Row by row from the buffers: a batch of ids as Python numbers would be many times its size.
+            values, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+            texts = [
+                machine.decode(values[ends[r] : ends[r + 1]].tolist()) if ids[r].is_valid else None for r in range(len(ids))
+            ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
             )
