@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from stayline.operators import clean, quality, services
 from stayline.session import staged
@@ -50,9 +50,12 @@ def clean_customers(raw: DataFrame, approximate: bool = False) -> DataFrame:
 def clean_with_log(raw: DataFrame, approximate: bool = False) -> CleaningResult:
     """The cleaned table and its change log.
 
-    The log is one row per fact: step, column, metric, value.
+    The log is one row per fact: step, column, metric, value. Row counts before and
+    after deduplication are observed by the one write of the deduplicated table, so
+    the source is scanned once.
     """
-    normal = _staged_normal(raw)
+    seen = Observation()
+    normal = staged(clean.normalize_text(clean.remove_duplicates_observed(typed(raw), seen)), "normalized")
     filled, possible, result = _finish(normal, approximate)
     spark = raw.sparkSession
 
@@ -63,21 +66,28 @@ def clean_with_log(raw: DataFrame, approximate: bool = False) -> CleaningResult:
         )
         return wide.unpivot(["step", "column"], list(metrics), "metric", "value")
 
-    shape = raw.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(raw.columns)))
-    kept = normal.agg(F.count(F.lit(1)).alias("final_rows"))
-    removed = shape.select(
-        F.col("rows").alias("initial_rows"), (F.col("rows") - kept.scalar()).alias("duplicates_removed")
+    # Without a row Spark may drop the observed node from the plan; then nothing was observed.
+    rows, distinct = (seen.get.get(name) or 0 for name in ("initial_rows", "final_rows"))
+    facts = [
+        ("initial_shape", "rows", rows),
+        ("initial_shape", "columns", len(raw.columns)),
+        ("remove_duplicates", "initial_rows", rows),
+        ("remove_duplicates", "duplicates_removed", rows - distinct),
+        ("remove_duplicates", "final_rows", distinct),
+        ("final_shape", "rows", distinct),
+        ("final_shape", "columns", len(result.columns)),
+    ]
+    observed = spark.createDataFrame(
+        [(step, None, metric, float(value)) for step, metric, value in facts],
+        "step string, column string, metric string, value double",
     )
-    final_shape = kept.select(F.col("final_rows").alias("rows"), F.lit(len(result.columns)).alias("columns"))
     final_columns = spark.createDataFrame(
         [("final_columns", c, "position", float(i)) for i, c in enumerate(result.columns, start=1)],
         "step string, column string, metric string, value double",
     )
     summary = quality.validation_summary(result).withColumn("is_valid", F.col("is_valid").cast("int"))
     parts = [
-        entries(shape, "initial_shape", "rows", "columns", column=None),
-        entries(removed, "remove_duplicates", "initial_rows", "duplicates_removed", column=None),
-        entries(kept, "remove_duplicates", "final_rows", column=None),
+        observed,
         entries(
             clean.impossible_counts(filled), "impossible_values", "before", "invalid_replaced", "below_min",
             "above_max", "after",
@@ -90,7 +100,6 @@ def clean_with_log(raw: DataFrame, approximate: bool = False) -> CleaningResult:
             summary, "validation", "is_valid", "issues", "warnings", "missing_value_columns",
             "duplicate_rows", column=None,
         ),
-        entries(final_shape, "final_shape", "rows", "columns", column=None),
         final_columns,
     ]
     return CleaningResult(result, reduce(DataFrame.unionByName, parts))

@@ -317,6 +317,27 @@ def test_impossible_values_are_not_imputed_again(raw):
     assert log["final_columns", "total_services", "position"] == 22
 
 
+def test_counts_of_the_log_are_observed_by_the_write(spark, raw, tmp_path):
+    raw.union(raw).union(raw.limit(1)).repartition(5).write.parquet(f"{tmp_path}/raw")
+    source, reads = spark.read.parquet(f"{tmp_path}/raw"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    log = clean_with_log(source.mapInArrow(counted, source.schema)).log
+    found = {(r.step, r.metric): r.value for r in log.where("step in ('remove_duplicates', 'initial_shape', 'final_shape')").collect()}
+    assert found == {
+        ("initial_shape", "rows"): 7, ("initial_shape", "columns"): 21, ("remove_duplicates", "initial_rows"): 7,
+        ("remove_duplicates", "duplicates_removed"): 4, ("remove_duplicates", "final_rows"): 3,
+        ("final_shape", "rows"): 3, ("final_shape", "columns"): 22,
+    }
+    assert reads.value == 7  # every row of the source was read once
+    empty = {(r.step, r.metric): r.value for r in clean_with_log(source.where("false")).log.collect()}
+    assert empty["initial_shape", "rows"] == empty["remove_duplicates", "final_rows"] == 0
+
+
 def test_etl_skips_known_input_until_it_expires(spark, raw):
     root = scratch_path(spark, "etl")
     monday = datetime(2024, 1, 1, 9)
