@@ -141,9 +141,17 @@ def near_rows():
     return rows + [rows[0], (2005, "x " * 5000)]
 
 
+def brute_similarity(a, b):
+    """Probability Jaccard of weights 1 + ln(count), by its defining double sum."""
+    union = list(a.keys() | b.keys())
+    x, y = (np.array([1 + np.log(c[s]) if s in c else 0 for s in union]) for c in (a, b))
+    shared = (x > 0) & (y > 0)
+    return (1 / np.maximum(x / x[shared, None], y / y[shared, None]).sum(axis=1)).sum()
+
+
 def brute_classes(rows):
     texts = sorted({tuple((t or "").encode().split()) for _, t in rows})
-    sets = [near_dedup.shingle_set(b" ".join(t)) for t in texts]
+    counts = [Counter(t[i : i + 5] for i in range(len(t) - 4)) for t in texts]
     parent = list(range(len(texts)))
 
     def root(i):
@@ -153,8 +161,7 @@ def brute_classes(rows):
 
     for i in range(len(texts)):
         for j in range(i):
-            shared = len(sets[i] & sets[j])
-            if shared and shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared):
+            if not counts[i].keys().isdisjoint(counts[j]) and brute_similarity(counts[i], counts[j]) >= 0.8 - 1e-9:
                 parent[root(i)] = root(j)
     of = {t: root(i) for i, t in enumerate(texts)}
     return {(d, t): of[tuple((t or "").encode().split())] for d, t in rows}
@@ -178,18 +185,36 @@ def test_near_classes_against_brute_force(documents, monkeypatch, family, tile):
 
 
 def test_near_classes_of_texts_that_repeat_a_passage(documents):
-    """Occurrences do not matter for the set Jaccard; weights by count would put these pairs below any estimate."""
+    """A passage one text repeats often weighs more and parts the texts; one that both repeat does not."""
     rows = []
-    for group, times in enumerate((1, 100, 300, 1000)):
-        words = [f"p{group}w{i}" for i in range(120)]
+    for group, (left, right) in enumerate([(0, 1), (1, 2), (0, 100), (90, 100), (1, 1000), (500, 1000)]):
+        words = [f"p{group}w{i}" for i in range(240)]
         line = [f"p{group}l{i}" for i in range(14)]
-        rows += [(10 * group, " ".join(words)), (10 * group + 1, " ".join(words + line * times))]
+        rows += [(10 * group, " ".join(words + line * left)), (10 * group + 1, " ".join(words + line * right))]
     want = brute_classes(rows)
-    assert len(set(want.values())) == 4  # every pair is linked
-    got = near_dedup.near_classes(documents(rows)).collect()
-    assert sorted((r["doc_id"], r["class_id"], r["class_size"]) for r in got) == [
-        (10 * g + i, 10 * g, 2) for g in range(4) for i in range(2)
-    ]
+    linked = [want[rows[2 * g]] == want[rows[2 * g + 1]] for g in range(6)]
+    assert linked == [True, True, False, True, False, True]
+    got = {r["doc_id"]: (r["class_id"], r["class_size"]) for r in near_dedup.near_classes(documents(rows)).collect()}
+    assert got == {10 * g + i: (10 * g, 2) if linked[g] else (10 * g + i, 1) for g in range(6) for i in range(2)}
+
+
+def test_probability_jaccard_against_its_double_sum():
+    rng = random.Random(8)
+    for _ in range(200):
+        a, b = (Counter({i: rng.choice([1, 1, 1, 2, 3, 50]) for i in rng.sample(range(40), 30)}) for _ in range(2))
+        assert near_dedup.probability_jaccard(a, b) == pytest.approx(brute_similarity(a, b), abs=1e-12)
+    assert near_dedup.probability_jaccard(Counter(), Counter("a")) == 0
+    plain = near_dedup.probability_jaccard(Counter(range(9)), Counter(range(1, 10)))
+    assert plain == pytest.approx(8 / 10)  # without repeats: of the sets
+
+
+def test_signatures_of_weighted_elements():
+    rng = np.random.default_rng(4)
+    elements = rng.integers(1, 2**62, 200).astype(np.uint64)
+    x, y = (rng.choice([1.0, 1.7, 5.6], 200) for _ in range(2))
+    found = near_dedup.signatures(np.tile(elements, 2), np.concatenate([x, y]), np.repeat([0, 1], 200), 2)
+    exact = (1 / np.maximum(x / x[:, None], y / y[:, None]).sum(axis=1)).sum()
+    assert abs((found[0] == found[1]).mean() - exact) < 0.12
 
 
 def test_one_of_each_class_keeps_columns(documents):
