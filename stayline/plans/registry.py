@@ -1,4 +1,4 @@
-"""Run store and model registry as append-only tables."""
+"""Run store as append-only tables, model registry as a commit log per name."""
 
 from __future__ import annotations
 
@@ -7,12 +7,14 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from urllib.parse import quote
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayline.functions.times import utc_now
 from stayline.plans.training import CLASSIFIERS, FittedModel, SearchResult
+from stayline.sources.commits import CommitLog
 from stayline.sources.readers import path_exists
 
 # The metric champions are chosen by, and the alias in model uris.
@@ -24,7 +26,7 @@ _TABLES = {
     "runs": "run_id string, model string, preprocessor string, artifact string, started_at timestamp_ntz",
     "run_params": "run_id string, param string, value string",
     "run_metrics": "run_id string, metric string, value double",
-    "versions": "registry string, version int, run_id string, promoted_at timestamp_ntz",
+    "versions": "version int, run_id string, promoted_at timestamp_ntz, registry string",
 }
 
 
@@ -32,8 +34,9 @@ _TABLES = {
 class RunStore:
     """Tables ``runs``, ``run_params``, ``run_metrics`` and ``versions`` below one folder.
 
-    Rows are only ever appended. A registry's champion is its highest version.
-    Runs, parameters and metrics of one training are a handful of rows.
+    Rows are only ever appended. Runs, parameters and metrics of one training are
+    a handful of rows. A registry is a commit log of its versions, so two trainings
+    that register at once get one version each; its champion is the newest.
     """
 
     spark: SparkSession
@@ -42,7 +45,8 @@ class RunStore:
     def table(self, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         if path_exists(self.spark, path):
-            return self.spark.read.schema(_TABLES[name]).parquet(path)
+            reader = self.spark.read.schema(_TABLES[name])
+            return reader.json(path) if name == "versions" else reader.parquet(path)
         return self.spark.createDataFrame([], _TABLES[name])
 
     def _append(self, name: str, rows: Sequence[tuple]) -> None:
@@ -83,15 +87,13 @@ class RunStore:
         )
         return row["value"]
 
+    def _versions(self, registry: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.root}/versions/registry={quote(registry, safe='')}")
+
     def champion(self, registry: str) -> tuple[int, str] | None:
         """(version, run id) the alias points at."""
-        row = (
-            self.table("versions")
-            .where(F.col("registry") == registry)
-            .agg(F.max(F.struct("version", "run_id")).alias("top"))
-            .first()["top"]
-        )
-        return (row["version"], row["run_id"]) if row else None
+        log = self._versions(registry)
+        return self.version(registry, log.newest())
 
     def register_champion(
         self, registry: str, run_id: str, metric: str = SELECTION_METRIC
@@ -100,16 +102,23 @@ class RunStore:
 
         Without an incumbent any run is promoted, scored or not. A tie keeps the
         incumbent, so does a challenger without a score; an incumbent whose
-        score is gone yields to any scored challenger.
+        score is gone yields to any scored challenger. Who loses a version to
+        another run challenges that run.
         """
-        incumbent = self.champion(registry)
-        if incumbent is not None:
-            challenger, defended = self.metric(run_id, metric), self.metric(incumbent[1], metric)
-            if challenger is None or (defended is not None and not challenger > defended):
-                return incumbent[0], False
-        version = incumbent[0] + 1 if incumbent else 1
-        self._append("versions", [(registry, version, run_id, utc_now())])
-        return version, True
+        promoted = False
+
+        def challenge(version: int, incumbent: dict | None) -> dict | None:
+            nonlocal promoted
+            promoted = True
+            if incumbent is not None:
+                challenger, defended = self.metric(run_id, metric), self.metric(incumbent["run_id"], metric)
+                promoted = challenger is not None and (defended is None or challenger > defended)
+            if not promoted:
+                return None
+            return {"version": version + 1, "run_id": run_id, "promoted_at": utc_now().isoformat()}
+
+        version, _ = self._versions(registry).append(challenge)
+        return version, promoted
 
     def register_models(
         self, runs: Mapping[str, str], metric: str = SELECTION_METRIC
@@ -130,8 +139,8 @@ class RunStore:
 
     def version(self, registry: str, number: int) -> tuple[int, str] | None:
         """(version, run id) of one version of a registry."""
-        row = self.table("versions").where((F.col("registry") == registry) & (F.col("version") == number)).first()
-        return (row["version"], row["run_id"]) if row else None
+        entry = self._versions(registry).read(number)
+        return (entry["version"], entry["run_id"]) if entry else None
 
     def resolve(self, model: str) -> tuple[str, tuple[int, str] | None]:
         """(registry, (version, run id)) of a name, ``models:/name@champion`` or ``models:/name/3``.

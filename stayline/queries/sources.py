@@ -203,8 +203,7 @@ def predictions_latest(spark, sf_dir):
     path = scratch_path(spark, "predictions")
     for batch, rows in _weekly(spark, sf_dir):
         writers.append_batch(rows, path, batch)
-    history = writers.read_history(spark, path, rows.schema)
-    return writers.latest_batch(history)
+    return writers.read_latest(spark, path, rows.schema)
 
 
 @query(
@@ -222,4 +221,4 @@ def comparison_latest(spark, sf_dir):
             datetime.strptime(batch, "%Y%m%dT%H%M%S"),
         )
         writers.append_batch(report, path, batch)
-    return writers.latest_batch(writers.read_history(spark, path, report.schema))
+    return writers.read_latest(spark, path, report.schema)
