@@ -37,8 +37,9 @@ class Category(NamedTuple):
 CATEGORIES = (Category("low_quality", "quality", 0), Category("toxic", "toxic", 1))
 #: The bound of the training sample, in labelled documents.
 SAMPLE_ROWS = 8_000
-#: Folds of the out-of-fold predictions; documents a word must occur in; most words of a model.
-FOLDS, MIN_DOCUMENTS, MAX_WORDS = 5, 5, 30_000
+#: Folds of the out-of-fold predictions; documents of the sample a word must occur in: with
+#: fewer, a fold may have never seen it, so its out-of-fold probabilities would not be those of the model.
+FOLDS, MIN_DOCUMENTS = 5, 5
 #: Gradient steps, ridge penalty per sample.
 STEPS, PENALTY = 100, 1e-4
 #: Log-odds by which a document must exceed a text without a known word to be rejected.
@@ -92,14 +93,15 @@ def best_cut(p: np.ndarray, y: np.ndarray) -> float:
 def training_rows(docs: DataFrame, labels: DataFrame, categories: Sequence[Category], rows: int) -> DataFrame:
     """At most ``rows`` labelled documents: row, fold, one 0/1 column per category, words.
 
-    Documents are taken in the order of a hash of their id. Rows of ``labels``
-    with a null id or label are left out; of several rows of an id the largest
+    Documents are taken in the order of a hash of their id. A document needs a
+    label of one category at least; the columns of the others are null. Rows of
+    ``labels`` with a null id are left out; of several rows of an id the largest
     label counts, and of several texts of an id any one is used (the largest).
     """
     marks = [
         F.max((F.col(c.label) == c.applies).cast("int")).alias(f"y{i}") for i, c in enumerate(categories)
     ]
-    whole = labels.dropna(subset=["doc_id", *{c.label for c in categories}])
+    whole = labels.dropna(subset=["doc_id"]).dropna("all", subset=list({c.label for c in categories}))
     chosen = (
         whole.groupBy(F.col("doc_id").cast("long").alias("row")).agg(*marks).orderBy(F.xxhash64("row"), "row").limit(rows)
     )
@@ -131,9 +133,11 @@ def fit_logistic(rows: np.ndarray, columns: np.ndarray, extra: np.ndarray, y: np
     Accelerated gradient steps, scaled per feature by its curvature bound. Weights
     of features are not negative: words speak for a category or not at all, so a
     text never counts as toxic for being short or new.
-    Returns weights of the features, then of ``extra``, then the intercept.
+    Returns weights of the features, then of ``extra``, then the intercept; all 0 without a row.
     """
     n, dense = len(y), extra.shape[1]
+    if not n:
+        return np.zeros(width + dense + 1)
     size = np.maximum(np.bincount(rows, minlength=n), 1)
     counts = np.bincount(columns, weights=size[rows], minlength=width) / (4 * n)
     scale = np.concatenate([
@@ -168,7 +172,11 @@ def _pairs(words: Sequence, index: dict[str, int]) -> tuple[np.ndarray, np.ndarr
 
 
 def _chain_step(index, place: int, earlier: Sequence[str]):
-    """Fit category ``place`` for one fold (or, fold -1, for all rows) and predict the rows of the fold."""
+    """Fit category ``place`` for one fold (or, fold -1, for all rows) and predict the rows of the fold.
+
+    It is fitted on the rows that have its label, and predicts all: a later
+    category may have a label where this one has none.
+    """
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("row")
@@ -178,10 +186,11 @@ def _chain_step(index, place: int, earlier: Sequence[str]):
         extra = group[list(earlier)].to_numpy(dtype=float).reshape(len(group), len(earlier)) - 0.5
         rows, columns = _pairs(group["words"], vocabulary)
         model = int(group["model"].iloc[0])
-        fitted = np.flatnonzero(~held_out)
+        taught = ~held_out & ~np.isnan(y)
+        fitted = np.flatnonzero(taught)
         place_of = np.full(len(group), -1)
         place_of[fitted] = np.arange(len(fitted))
-        used = ~held_out[rows]
+        used = taught[rows]
         w = fit_logistic(place_of[rows[used]], columns[used], extra[fitted], y[fitted], len(vocabulary))
         if model < 0:
             return pd.DataFrame({"row": [-1], "p": [0.0], "weights": [w.astype("<f8").tobytes()]})
@@ -228,9 +237,9 @@ def fit_chain(
     sample = training_rows(docs, labels, categories, rows)
     frequent = (
         sample.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-        .where(F.col("n") >= MIN_DOCUMENTS).orderBy(F.desc("n"), "word").limit(MAX_WORDS)
+        .where(F.col("n") >= MIN_DOCUMENTS).orderBy(F.desc("n"), "word")
     )
-    words = [r["word"] for r in frequent.select("word").collect()]  # at most MAX_WORDS
+    words = [r["word"] for r in frequent.select("word").collect()]  # a fifth of the words of ``rows`` documents at most
     if not sample.limit(1).collect():
         return None
     index = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words)})
@@ -252,7 +261,8 @@ def fit_chain(
             sample = sample.join(out_of_fold.withColumnRenamed("p", f"p{place}"), "row")
             earlier.append(f"p{place}")
     # At most ``rows`` numbers.
-    judged = out_of_fold.join(sample.select("row", F.col(f"y{len(categories) - 1}").alias("y")), "row").toPandas()
+    judged = sample.select("row", F.col(f"y{len(categories) - 1}").alias("y")).dropna()
+    judged = out_of_fold.join(judged, "row").toPandas()
     cut = best_cut(judged["p"].to_numpy(dtype=float), judged["y"].to_numpy(dtype=float))
     table = np.array(weights).reshape(len(categories), -1)
     chain = Chain(tuple(c.name for c in categories), index.value, table, links, intercepts, cut)
@@ -284,7 +294,9 @@ def toxicity_scores(
     ``rejected`` asks the last category for ``threshold``, by default the one with
     the best F1 on the out-of-fold predictions of the training sample, but at
     least :data:`MARGIN` above what a text without a known word scores. A null or empty text is
-    scored by the intercepts alone. Without a labelled document probabilities are
+    scored by the intercepts alone. A label that is null teaches nothing about its
+    own category, but the others of its row do; a category without any label is
+    0.5 for all. Without a labelled document probabilities are
     null and nothing is rejected. Repeated rows are scored alike.
     """
     chain = fit_chain(docs, labels, categories)
@@ -293,7 +305,7 @@ def toxicity_scores(
     if chain is None:
         none = [F.lit(None).cast("double").alias(n) for n in names]
         return texts.select("doc_id", *none, F.lit(False).alias("rejected"))
-    shared = docs.sparkSession.sparkContext.broadcast(chain)  # bounded by MAX_WORDS
+    shared = docs.sparkSession.sparkContext.broadcast(chain)  # bounded by the words of the training sample
     schema = ", ".join(["doc_id long", *[f"{n} double" for n in names]])
     scored = texts.mapInArrow(_scored(shared), schema)
     return scored.withColumn("rejected", F.col(names[-1]) >= (chain.threshold if threshold is None else threshold))

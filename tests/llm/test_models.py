@@ -65,6 +65,84 @@ def test_filter_keeps_columns_and_reruns_agree(documents, label_table, rows_of):
     assert abs(len(kept) - (500 - len(toxic))) <= 15
 
 
+def brute_fit(x, extra, y):
+    """The same ridge logistic regression on dense matrices: accelerated steps, weights of words not negative."""
+    n, width = x.shape
+    every = np.hstack([x, extra, np.ones((n, 1))])
+    if not n:
+        return np.zeros(every.shape[1])
+    size = np.maximum(x.sum(axis=1), 1)
+    bound = np.concatenate([
+        (x * size[:, None]).sum(axis=0) / (4 * n) + T.PENALTY + 1e-9,
+        (extra**2 * size[:, None]).mean(axis=0) / 2 + T.PENALTY + 1e-9, [size.mean() / 4],
+    ])
+    w = np.zeros(every.shape[1])
+    w[-1] = math.log((y.sum() + 0.5) / (n - y.sum() + 0.5))
+    penalty = np.append(np.full(len(w) - 1, T.PENALTY), 0)
+    ahead, t = w, 1.0
+    for _ in range(T.STEPS):
+        p = 1 / (1 + np.exp(-every @ ahead))
+        new = ahead - (every.T @ (p - y) / n + penalty * ahead) / bound
+        new[:width] = new[:width].clip(0)
+        u = (1 + math.sqrt(1 + 4 * t * t)) / 2
+        ahead, w, t = new + (t - 1) / u * (new - w), new, u
+    return w
+
+
+def brute_chain(sample, texts):
+    """Rows (row, fold, labels, words) to probabilities of all texts and the cut, one fold and category at a time."""
+    words = sorted({w for *_, own in sample for w in own})
+    words = [w for w in words if sum(w in own for *_, own in sample) >= T.MIN_DOCUMENTS]
+    x = np.array([[w in own for w in words] for *_, own in sample], dtype=float)
+    z = np.array([[w in T.words_of(t) for w in words] for t in texts], dtype=float)
+    fold = np.array([f for _, f, _, _ in sample])
+    of_sample, of_texts = np.empty((len(sample), 0)), np.empty((len(texts), 0))
+    answer = lambda w, a, b: 1 / (1 + np.exp(-np.hstack([a, b, np.ones((len(a), 1))]) @ w))
+    for place in range(2):
+        y = np.array([np.nan if r[2][place] is None else r[2][place] for r in sample])
+        own = np.empty(len(sample))
+        for k in range(T.FOLDS):
+            taught, out = (fold != k) & ~np.isnan(y), fold == k
+            own[out] = answer(brute_fit(x[taught], of_sample[taught], y[taught]), x[out], of_sample[out])
+        taught = ~np.isnan(y)
+        whole = brute_fit(x[taught], of_sample[taught], y[taught])
+        found = answer(whole, z, of_texts)
+        of_sample, of_texts = np.column_stack([of_sample, own - 0.5]), np.column_stack([of_texts, found - 0.5])
+    cuts = sorted(set(own[taught]))
+    score = {c: 2 * ((own >= c) & (y == 1)).sum() / (((own >= c) & taught).sum() + (y == 1).sum()) for c in cuts}
+    return of_texts + 0.5, cuts, score
+
+
+@pytest.mark.parametrize("missing", ["none", "some", "all of quality"])
+def test_chain_against_a_dense_one(documents, label_table, missing):
+    docs, labels, _ = labelled(260)
+    rng = random.Random(6)
+    if missing == "some":
+        labels = [(d, None if rng.random() < 0.4 else q, None if rng.random() < 0.3 else t, x) for d, q, t, x in labels]
+    elif missing == "all of quality":
+        labels = [(d, None, t, x) for d, _, t, x in labels]
+    docs = docs + [(5000, None), (5001, ""), (5002, "none of these words is known")]
+    rows = T.training_rows(documents(docs), label_table(labels), T.CATEGORIES, T.SAMPLE_ROWS).collect()
+    usable = {d for d, q, t, _ in labels if d is not None and (q, t) != (None, None)} & {r[0] for r in docs}
+    assert {r["row"] for r in rows} == usable
+    sample = [(r["row"], r["fold"], (r["y0"], r["y1"]), set(r["words"])) for r in rows]
+    want, cuts, score = brute_chain(sample, [r[1] or "" for r in docs])
+    got = {r["doc_id"]: r for r in T.toxicity_scores(documents(docs), label_table(labels)).collect()}
+    for (doc, *_), (quality, toxic) in zip(docs, want):
+        assert got[doc]["p_low_quality"] == pytest.approx(quality, abs=1e-6)
+        assert got[doc]["p_toxic"] == pytest.approx(toxic, abs=1e-6)
+    if missing == "all of quality":
+        assert {r["p_low_quality"] for r in got.values()} == {0.5}
+    chain = T.fit_chain(documents(docs), label_table(labels))
+    odds = want[-2][1] / (1 - want[-2][1])  # of the empty text
+    least = odds * math.exp(T.MARGIN) / (1 + odds * math.exp(T.MARGIN))
+    if chain.threshold > least + 1e-6:  # the cut decides: nothing scores a better F1
+        above = min(c for c in cuts if c >= chain.threshold)
+        assert score[above] == pytest.approx(max(score.values()))
+    else:
+        assert chain.threshold == pytest.approx(least, abs=1e-6)
+
+
 def test_without_labels_nothing_is_rejected(documents, label_table):
     got = T.toxicity_scores(documents([(1, "a b")]), label_table([])).collect()
     assert [(r["p_toxic"], r["rejected"]) for r in got] == [(None, False)]
