@@ -253,3 +253,19 @@ def test_search_settings_are_flattened():
     assert many["search.0.C"] == many["search.1.C"] == [0.01, 0.1, 1.0, 10.0]
     assert "search.0.l1_ratio" not in many and many["cv.folds"] == 5
     assert training.space_params((training.KMEANS_SPACE,), 5, 7)["search.n_clusters"] == [2, 3, 4, 5, 6, 7, 8]
+
+
+def test_models_score_after_a_logged_cleaning(raw, customers):
+    """Fitted models carry their session: nothing that the log needs may make it unfit for tasks."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    from stayline.plans.cleaning import clean_with_log
+
+    clean_with_log(raw.union(raw)).cleaned.count()
+    frame = customers(40).select(
+        array_to_vector(F.array("tenure")).alias("features"), F.col("tenure").alias("label"),
+        F.lit(1.0).alias("weight_none"), F.lit(1.0).alias("weight_balanced"),
+    )
+    for name, params in (("logistic_regression", {}), ("random_forest", {"n_estimators": 1, "max_depth": 2})):
+        assert training.fit(name, params, frame, 40).transform(frame).select("prediction").distinct().count() == 2
