@@ -269,6 +269,19 @@ def test_silhouettes_equal_brute_force(spark):
     assert (exact.points, exact.silhouette) == (60, pytest.approx(silhouette_by_pairs(points, labels, False)))
 
 
+def test_exact_silhouette_measures_each_pair_of_tiles_once(spark):
+    """Far from the origin, with equal and nearly equal points, ids that repeat not at all, tiles of uneven size."""
+    rng = np.random.default_rng(3)
+    points = np.repeat(rng.normal(size=(30, 4)), 2, axis=0) + 1000.0
+    points[::4] += 1e-5
+    gaps = clusters._gaps(points, points)
+    assert np.allclose(gaps, np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2)), rtol=1e-6, atol=0)
+    labels = rng.integers(0, 3, 60)
+    df = spark.createDataFrame([(i, p.tolist(), f"c{c}") for i, (p, c) in enumerate(zip(points, labels))], "id int, v array<double>, c string")
+    exact = clusters.silhouette_exact(df, "id", "v", "c", tile=13).first()
+    assert (exact.points, exact.silhouette) == (60, pytest.approx(silhouette_by_pairs(points, labels, False)))
+
+
 def test_single_cluster_scores_minus_one(make):
     df = make([(1, [0.0], 0), (2, [1.0], 0)], "id int, v array<double>, c int")
     assert clusters.silhouette_squared(df, "v", "c").first().silhouette == -1.0
