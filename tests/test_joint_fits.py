@@ -158,3 +158,26 @@ def test_jobs_of_different_models_overlap_in_their_pools(spark, customers):
     assert pools == {("random_forest", "random_forest"), ("gradient_boosting", "gradient_boosting")}
     assert {n: len(r.scores) for n, r in results.items()} == dict.fromkeys(models, 2)
     assert all(r.fitted is not None for r in results.values()) and results[CLUSTERING].fitted.clusters
+
+
+def test_newton_steps_are_found_in_tasks(spark, sample, monkeypatch):
+    x, y, w = sample
+    monkeypatch.setattr(L, "_descended", None)  # of the driver; tasks import their own
+    found = L.fit_all(L.row_blocks(frame(spark, x, y, w), ["one"]), 7, ["one"], [L.Penalty(0.01, 0.5, "one")])
+    assert found.shape == (1, 8) and np.abs(found).max() > 0.1
+
+
+def test_races_measure_a_block_once(monkeypatch):
+    x = np.random.default_rng(1).normal(size=(50, 3))
+    matrix = np.column_stack([np.zeros(50), np.ones(50), x])
+    batch = L.pa.RecordBatch.from_arrays([L.pa.array([5]), L.pa.array([matrix.tobytes()], L.pa.binary())], ["width", "block"])
+    calls, measured = [], K._distances
+    monkeypatch.setattr(K, "_distances", lambda *a: calls.append(1) or measured(*a))
+    centres = [x[:1], x[3:5], np.empty((0, 3))]
+    (out,) = K._races([4, 7, 9], [1, 2, 3], centres)(iter([batch]))
+    assert len(calls) == 1 and out.column("fit").to_pylist() == [4, 7, 9]
+    for seed, own, sums in zip([1, 2, 3], centres, out.column("sums").to_pylist()):
+        weight = measured(x, own).min(axis=1) if len(own) else np.ones(50)
+        with np.errstate(divide="ignore"):
+            times = np.random.default_rng([seed, len(own), K.zlib.crc32(x)]).standard_exponential(50) / weight
+        assert np.allclose(np.frombuffer(sums), [times.min(), *x[times.argmin()]])
