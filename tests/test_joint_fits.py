@@ -162,7 +162,13 @@ def test_jobs_of_different_models_overlap_in_their_pools(spark, customers):
 
 def test_newton_steps_are_found_in_tasks(spark, sample, monkeypatch):
     x, y, w = sample
-    monkeypatch.setattr(L, "_descended", None)  # of the driver; tasks import their own
+    descended = L._descended
+
+    def in_task(*arrays):
+        assert L.TaskContext.get() is not None
+        return descended(*arrays)
+
+    monkeypatch.setattr(L, "_descended", in_task)
     found = L.fit_all(L.row_blocks(frame(spark, x, y, w), ["one"]), 7, ["one"], [L.Penalty(0.01, 0.5, "one")])
     assert found.shape == (1, 8) and np.abs(found).max() > 0.1
 
