@@ -187,3 +187,76 @@ def test_races_measure_a_block_once(monkeypatch):
         with np.errstate(divide="ignore"):
             times = np.random.default_rng([seed, len(own), K.zlib.crc32(x)]).standard_exponential(50) / weight
         assert np.allclose(np.frombuffer(sums), [times.min(), *x[times.argmin()]])
+
+
+def test_newton_step_is_the_exact_minimum():
+    """Collinear indicators and an L1 penalty, where sweeps over the coordinates did not settle."""
+    random = np.random.default_rng(5)
+    hot = [np.eye(k)[random.integers(0, k, 600)] for k in (2, 2, 3, 3, 4, 40)]
+    x = np.column_stack([np.ones(600), random.normal(size=(600, 2)), *hot, hot[0]])
+    size = x.shape[1]
+    curvature, gradient = x.T @ x / 2400, x.T @ random.normal(size=600) / 600
+    free = np.arange(size) > 0
+    strengths = (0.03, 0.003, 0.0003)
+    l1, l2 = np.array([s * 0.75 * free for s in strengths]), np.array([s * 0.25 * free for s in strengths])
+    at = np.zeros((3, size))
+    at[1] = random.normal(size=size)
+    point = at + L._descended(at, np.array([gradient] * 3), np.array([curvature] * 3), l1, l2)
+    for a, z, one, two in zip(at, point, l1, l2):
+        slope = gradient + curvature @ (z - a) + (two + 1e-12) * z
+        assert (np.abs(slope + one * np.sign(z))[(z != 0) | (one == 0)] < 1e-9).all()
+        assert (np.abs(slope) <= one + 1e-9)[z == 0].all()
+    assert (point == 0).any() and (point != 0).any()
+
+
+def test_assignment_takes_the_first_of_equally_near_centres():
+    x = np.random.default_rng(4).normal(size=(40, 3))
+    matrix = np.column_stack([np.zeros(40), np.ones(40), x])
+    batch = L.pa.RecordBatch.from_arrays([L.pa.array([5]), L.pa.array([matrix.tobytes()], L.pa.binary())], ["width", "block"])
+    centres = [x[[1, 1, 7]], x[:2]]
+    (out,) = K._assigned([3, 8], centres)(iter([batch]))
+    assert out.column("fit").to_pylist() == [3, 8]
+    for own, sums in zip(centres, out.column("sums").to_pylist()):
+        distances = np.square(x[:, None] - own).sum(axis=2)
+        member = np.eye(len(own))[distances.argmin(axis=1)]
+        expected = np.concatenate([[distances.min(axis=1).sum()], member.sum(axis=0), (member.T @ x).reshape(-1)])
+        assert np.allclose(np.frombuffer(sums), expected)
+
+
+def test_few_units_run_beside_a_chain(spark):
+    """In threads alone: a chain starts first, and at most two other units run until it has ended."""
+    lock, running, most, order, ended = threading.Lock(), [], [], [], threading.Event()
+
+    def other(k):
+        with lock:
+            running.append(k)
+            order.append(k)
+            most.append((len(running), ended.is_set()))
+        time.sleep(0.05)
+        with lock:
+            running.remove(k)
+        return k
+
+    def chain():
+        order.append("chain")
+        time.sleep(0.3)
+        ended.set()
+        return "chain"
+
+    units = [Unit("a", lambda k=k: other(k)) for k in range(20)]
+    units.insert(10, Unit("b", chain, chain=True))
+    assert run_units(spark, units, 8) == [*range(10), "chain", *range(10, 20)]
+    assert "chain" in order[:8] and max(n for n, after in most if not after) <= 2
+
+
+def test_workers_leave_imports_out_of_collections(spark, sample):
+    x, y, _ = sample
+    blocks = L.row_blocks(frame(spark, x, y), ["one"])
+
+    def counted(batches):
+        import gc
+
+        list(L._matrices(batches))
+        yield L.pa.RecordBatch.from_arrays([L.pa.array([gc.get_freeze_count()])], ["frozen"])
+
+    assert all(r.frozen > 1_000 for r in blocks.mapInArrow(counted, "frozen long").collect())
